@@ -2,16 +2,16 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from linkweave.sources.scratch import written
+
 #: A word of the contracts: a run of anything but the six ASCII blanks.
 BLANK_WORD = r"[^\x20\x09-\x0D]+"
 #: Rows of one Arrow batch sent to Python; texts can be long, so few.
@@ -19,38 +19,11 @@ BATCH_BYTES = 8 << 20
 A_Z = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that all executors share: ``spark.checkpoint.dir``, or a temporary one where that is unset."""
-    found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if not found:
-        found = tempfile.mkdtemp(prefix="linkweave-")
-        spark.conf.set("spark.checkpoint.dir", found)
-    return found.rstrip("/")
-
-
-def written(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written as Parquet in the shared folder and read again, which cuts its lineage."""
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/linkweave-{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def partitions(df: DataFrame) -> int:
     """Partitions that the session gives to a shuffle."""
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
-def map_arrow(df: DataFrame, kernel, schema: str) -> DataFrame:
-    """``mapInArrow`` over batches cut to bounded bytes.
-
-    ``kernel`` gets an iterator of record batches and yields record batches.
-    Spark counts rows, not bytes, when it fills a batch; ``slices`` below keeps
-    what a kernel works on at once bounded.
-    """
-    return df.mapInArrow(kernel, schema)
-
-
 def slices(batch: pa.RecordBatch, column: str, most: int = BATCH_BYTES) -> Iterator[pa.RecordBatch]:
     """The batch in runs of rows whose ``column`` holds about ``most`` bytes; a longer value is a run of its own."""
     n = batch.num_rows
@@ -87,3 +60,6 @@ def lowered(text: Column) -> Column:
 def hex64(values: np.ndarray) -> list[str]:
     """16 lowercase hex digits each."""
     return [f"{v:016x}" for v in values.tolist()]
+
+
+__all__ = ["A_Z", "BLANK_WORD", "hex64", "lowered", "partitions", "raw_texts", "slices", "written"]
