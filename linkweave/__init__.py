@@ -1,0 +1 @@
+"""Record linkage and training-data operations on Spark DataFrames."""
