@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from linkweave.operators.blocking import top_per
+from linkweave.sources.scratch import written
 
 
 def char_grams(text: Column, sizes: tuple[int, int] = (3, 4), by_word: bool = False) -> Column:
@@ -58,15 +59,15 @@ def tfidf_top_k(s1: DataFrame, cands: DataFrame, top_k: int = 15, least: float =
     ``least``. A vector that shares none of them can't reach it, so the
     frequent grams, which would join everything, take part in scoring only.
     """
-    a = tfidf(s1, cands, **options)
-    b = tfidf(cands, cands, **options)
+    a = written(tfidf(s1, cands, **options), "s1-grams")
+    b = written(tfidf(cands, cands, **options), "pool-grams")
     rest = F.sum(F.col("weight") * F.col("weight")).over(Window.partitionBy("id").orderBy(F.desc("df"), "gram"))
     prefix = a.withColumn("rest", rest).where(F.col("rest") >= (least - 1e-9) ** 2)
     pairs = prefix.select(F.col("id").alias("s1_id"), "part", "gram").join(b.select(F.col("id").alias("cand_id"), "part", "gram"), ["part", "gram"]).select("s1_id", "cand_id").distinct()
     x = a.select(F.col("id").alias("s1_id"), "gram", F.col("weight").alias("x"))
     y = b.select(F.col("id").alias("cand_id"), "gram", F.col("weight").alias("y"))
     scored = pairs.join(x, "s1_id").join(y, ["cand_id", "gram"]).groupBy("s1_id", "cand_id").agg(F.sum(F.col("x") * F.col("y")).alias("similarity"))
-    return top_per(scored.where(F.col("similarity") >= least), ["s1_id"], [F.desc("similarity"), F.col("cand_id")], top_k)
+    return top_per(scored.where(F.round("similarity", 9) >= least), ["s1_id"], [F.desc(F.round("similarity", 9)), F.col("cand_id")], top_k)
 
 
 #: Vectors in one tile of the dense join.
@@ -104,14 +105,14 @@ def dense_top_k(queries: DataFrame, pool: DataFrame, top_k: int = 25, least: flo
         sims[nx == 0] = -2
         sims[:, ny == 0] = -2
         k = min(top_k, sims.shape[1])
-        best = np.argsort(-sims, axis=1, kind="stable")[:, :k]
+        best = np.argsort(-np.round(sims, 9), axis=1, kind="stable")[:, :k]
         rows = np.repeat(np.arange(len(a)), k)
         score = np.take_along_axis(sims, best, axis=1).ravel()
         keep = (score >= least) & (score > -2)
         return pd.DataFrame({"s1_id": a.id.to_numpy()[rows][keep], "cand_id": b.id.to_numpy()[best.ravel()][keep], "similarity": score[keep]})
 
     found = q.unionByName(p).groupBy("part", "i", "j").applyInPandas(compare, f"s1_id {kind}, cand_id {kind}, similarity double")
-    return top_per(found, ["s1_id"], [F.desc("similarity"), F.col("cand_id")], top_k)
+    return top_per(found, ["s1_id"], [F.desc(F.round("similarity", 9)), F.col("cand_id")], top_k)
 
 
 def latent_vectors(rows: DataFrame, fit_on: DataFrame, dimensions: int = 128, **options) -> DataFrame:
@@ -125,7 +126,7 @@ def latent_vectors(rows: DataFrame, fit_on: DataFrame, dimensions: int = 128, **
     from pyspark.mllib.linalg.distributed import RowMatrix
 
     settings = {"sublinear": False, "max_df": 0.35, "most": 120_000, "by_word": True} | options
-    base = tfidf(fit_on, fit_on, **settings).persist()
+    base = written(tfidf(fit_on, fit_on, **settings), "grams")
     grams = base.select("part", "gram").distinct()
     vocabulary = [(r["part"], r["gram"]) for r in grams.orderBy("part", "gram").collect()]
     spark = rows.sparkSession
@@ -134,9 +135,12 @@ def latent_vectors(rows: DataFrame, fit_on: DataFrame, dimensions: int = 128, **
     numbered = spark.createDataFrame([(p, g, i) for i, (p, g) in enumerate(vocabulary)], "part string, gram string, n int")
     vectors = base.join(numbered, ["part", "gram"]).groupBy("id").agg(F.array_sort(F.collect_list(F.struct("n", "weight"))).alias("v"))
     width = len(vocabulary)
-    matrix = RowMatrix(vectors.select("v").rdd.map(lambda r: Vectors.sparse(width, [(x["n"], x["weight"]) for x in r["v"]])))
+    # Each step of the decomposition multiplies by these rows, so they stay in memory.
+    sparse = vectors.select("v").rdd.map(lambda r: Vectors.sparse(width, [(x["n"], x["weight"]) for x in r["v"]])).persist()
+    matrix = RowMatrix(sparse)
     k = max(1, min(dimensions, width - 1, matrix.numRows()))
     factors = matrix.computeSVD(k).V.toArray()
+    sparse.unpersist()
     loadings = spark.createDataFrame([(i, row.tolist()) for i, row in enumerate(factors)], "n int, f array<double>")
     own = tfidf(rows, fit_on, **settings).join(numbered, ["part", "gram"]).join(loadings, "n")
     terms = own.select("id", "part", F.posexplode(F.transform("f", lambda x: x * F.col("weight"))).alias("d", "x"))

@@ -263,8 +263,8 @@ i AS (
     UNION ALL SELECT entity_id, source_type, 5, k - 1, list_filter(string_split(na, ' '), lambda t: length(t) >= 4 AND NOT regexp_full_match(t, '[0-9]+'))[k] FROM z, (VALUES (1), (2)) x(k) WHERE k = 1 OR source_type > 1
 ),
 e AS (SELECT ch, key, entity_id AS cand_id, count(*) AS times FROM i WHERE source_type > 1 AND key IS NOT NULL GROUP BY ALL),
-l AS (SELECT *, sum(times) OVER (PARTITION BY ch, key ORDER BY cand_id) AS at FROM e),
-f AS (SELECT i.entity_id AS s1_id, cand_id, min(ch * 1000000000000 + place * 10000000000 + at) AS o FROM i JOIN l USING (ch, key) WHERE i.source_type = 1 AND at - times < [10, 2147483647, 15, 15, 10, 10][ch + 1] GROUP BY ALL),
+l AS (SELECT *, sum(times) OVER (PARTITION BY ch, key ORDER BY cand_id) AS upto FROM e),
+f AS (SELECT i.entity_id AS s1_id, cand_id, min(ch * 1000000000000 + place * 10000000000 + upto) AS o FROM i JOIN l USING (ch, key) WHERE i.source_type = 1 AND upto - times < [10, 2147483647, 15, 15, 10, 10][ch + 1] GROUP BY ALL),
 r AS (SELECT s1_id, cand_id, row_number() OVER (PARTITION BY s1_id ORDER BY o, cand_id) AS rank FROM f)
 SELECT * FROM r WHERE rank <= 8"""
 )

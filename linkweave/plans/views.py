@@ -10,7 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from linkweave.functions.text import clean_text
-from linkweave.operators.keys import key_columns  # noqa: F401
+from linkweave.operators.keys import key_columns
+from linkweave.sources.scratch import written
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -34,7 +35,8 @@ def sides(df: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def keyed(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    return sides(key_columns(entities(spark, sf_dir)))
+    """Keyed S1 and pool, written once: the channels read them many times."""
+    return sides(written(key_columns(entities(spark, sf_dir)), "keyed"))
 
 
 def truth(spark: SparkSession, sf_dir: str) -> DataFrame:
