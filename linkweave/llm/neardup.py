@@ -49,17 +49,26 @@ def majority(hashes: np.ndarray, starts: np.ndarray, counts: np.ndarray) -> np.n
     return np.packbits(2 * votes > counts[:, None], axis=1).view(">u8").ravel().astype(np.uint64)
 
 
-def fingerprints_of(body: np.ndarray, offsets: np.ndarray, words: int) -> np.ndarray:
-    """Fingerprints of texts that lie end to end."""
+def remixed(hashes: np.ndarray) -> np.ndarray:
+    """Independent hashes from hashes."""
+    out = (hashes ^ (hashes >> np.uint64(31))) * np.uint64(0x9FB21C651E98DF25)
+    return (out ^ (out >> np.uint64(29))) * np.uint64(0xD6E8FEB86659FD93)
+
+
+def fingerprints_of(body: np.ndarray, offsets: np.ndarray, words: int, second: bool = False) -> tuple[np.ndarray, np.ndarray]:
+    """Fingerprints of texts that lie end to end, and with ``second`` those of their remixed hashes, else 0."""
     n = len(offsets) - 1
-    out = np.zeros(n, np.uint64)
+    out, out2 = np.zeros(n, np.uint64), np.zeros(n, np.uint64)
     held, rows, size = [], [], 0
 
     def flush():
         nonlocal held, rows, size
         if rows:
             counts = np.array([len(h) for h in held])
-            out[rows] = majority(np.concatenate(held), np.concatenate([[0], np.cumsum(counts)[:-1]]), counts)
+            hashes, starts = np.concatenate(held), np.concatenate([[0], np.cumsum(counts)[:-1]])
+            out[rows] = majority(hashes, starts, counts)
+            if second:
+                out2[rows] = majority(remixed(hashes), starts, counts)
         held, rows, size = [], [], 0
 
     for i in range(n):
@@ -71,20 +80,24 @@ def fingerprints_of(body: np.ndarray, offsets: np.ndarray, words: int) -> np.nda
         if size > 60_000:
             flush()
     flush()
-    return out
+    return out, out2
 
 
-def with_simhash(df: DataFrame, words: int = 4, text: str = "text", carry: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """The ``carry`` columns and ``fp``, the signed fingerprint of ``text``; null and empty texts have 0."""
+def with_simhash(df: DataFrame, words: int = 4, text: str = "text", carry: tuple[str, ...] = ("doc_id",), second: bool = False) -> DataFrame:
+    """The ``carry`` columns and ``fp``, the signed fingerprint of ``text``, with ``second`` also an independent ``fp2``; null and empty texts have 0."""
     source = df.select(*carry, F.col(text).cast("string").alias("_text"))
     fields = [*source.drop("_text").schema.fields]
-    schema = source.drop("_text").schema.add("fp", "long")
+    names = ["fp", "fp2"] if second else ["fp"]
+    schema = source.drop("_text").schema
+    for name in names:
+        schema = schema.add(name, "long")
 
     def kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for batch in slices(whole, "_text"):
-                fp = fingerprints_of(*raw_texts(batch.column(len(fields))), words)
-                yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(len(fields))), pa.array(fp.view(np.int64))], names=[*carry, "fp"])
+                found = fingerprints_of(*raw_texts(batch.column(len(fields))), words, second)
+                own = [pa.array(f.view(np.int64)) for f, _ in zip(found, names, strict=False)]
+                yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(len(fields))), *own], names=[*carry, *names])
 
     return source.mapInArrow(kernel, schema)
 
@@ -138,13 +151,9 @@ def forest(a: np.ndarray, b: np.ndarray, radius: int, same: bool) -> tuple[np.nd
     return nodes[child], nodes[root[child]]
 
 
-def near_links(fps: DataFrame, radius: int = 4) -> DataFrame:
-    """(u, v) signed fingerprints: a forest with the connectivity of all links within ``radius`` bits.
-
-    ``fps`` has distinct, non-null signed ``fp``.
-    """
-    spark = fps.sparkSession
-    cells = fps.withColumns({"pop": F.bit_count("fp"), "lead": F.shiftrightunsigned("fp", 64 - CELL_BITS).cast("int")})
+def _tiling(cells: DataFrame, radius: int) -> tuple[DataFrame, DataFrame, int] | None:
+    """Where the cells (pop, lead) go: their tile and number of pieces, each tile's first and last partner, and the number of tiles; None without rows."""
+    spark = cells.sparkSession
     # 65 population counts times 2 ** CELL_BITS leading bits: a bounded histogram.
     counted = sorted((r["pop"], r["lead"], r["count"]) for r in cells.groupBy("pop", "lead").count().collect())
     total = sum(c for _, _, c in counted)
@@ -165,11 +174,25 @@ def near_links(fps: DataFrame, radius: int = 4) -> DataFrame:
             high.append(pop)
             held = size
     if not placed:
-        return spark.createDataFrame([], "u long, v long")
+        return None
     first = [next(i for i in range(t + 1) if high[i] >= low[t] - radius) for t in range(len(low))]
     last = [max(i for i in range(t, len(low)) if low[i] <= high[t] + radius) for t in range(len(low))]
     where = F.broadcast(spark.createDataFrame(placed, "pop int, lead int, tile int, pieces int"))
     reach = spark.createDataFrame([(t, first[t], last[t]) for t in range(len(low))], "tile int, first int, last int")
+    return where, reach, len(low)
+
+
+def near_links(fps: DataFrame, radius: int = 4) -> DataFrame:
+    """(u, v) signed fingerprints: a forest with the connectivity of all links within ``radius`` bits.
+
+    ``fps`` has distinct, non-null signed ``fp``.
+    """
+    spark = fps.sparkSession
+    cells = fps.withColumns({"pop": F.bit_count("fp"), "lead": F.shiftrightunsigned("fp", 64 - CELL_BITS).cast("int")})
+    plan = _tiling(cells, radius)
+    if plan is None:
+        return spark.createDataFrame([], "u long, v long")
+    where, reach, tiles = plan
     packed = (
         cells.join(where, ["pop", "lead"])
         .select((F.col("tile") + F.expr("CAST(pmod(xxhash64(fp), pieces) AS INT)")).alias("tile"), "fp")
@@ -185,7 +208,7 @@ def near_links(fps: DataFrame, radius: int = 4) -> DataFrame:
         u, v = forest(np.frombuffer(blobs[x], np.uint64), np.frombuffer(blobs[y], np.uint64), radius, x == y) if x in blobs and y in blobs else (np.zeros(0, np.uint64),) * 2
         return pa.table({"u": u.view(np.int64), "v": v.view(np.int64)})
 
-    return pairs.repartition(max(partitions(fps), min(len(low) * 4, 2000)), "x", "y").groupBy("x", "y").applyInArrow(compare, "u long, v long")
+    return pairs.repartition(max(partitions(fps), min(tiles * 4, 2000)), "x", "y").groupBy("x", "y").applyInArrow(compare, "u long, v long")
 
 
 def _pack(table: pa.Table) -> pa.Table:
@@ -211,21 +234,181 @@ def near_duplicate_classes(df: DataFrame, radius: int = 4, words: int = 4, carry
     return docs.join(named.join(smallest, "root").select("fp", "root", "component_id"), "fp", "left")
 
 
-def keep_one(df: DataFrame, radius: int = 4, words: int = 5) -> DataFrame:
-    """The rows of ``df`` (doc_id, text and any others) of which each near-duplicate component keeps one.
+def nearest(owner: np.ndarray, other: np.ndarray, far: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The ``most`` nearest others of each owner, ties by other; and which owners have more."""
+    order = np.lexsort((other, far, owner))
+    owner, other, far = owner[order], other[order], far[order]
+    first = np.concatenate([[0], np.flatnonzero(owner[1:] != owner[:-1]) + 1]) if len(owner) else np.zeros(0, np.int64)
+    place = np.arange(len(owner)) - np.repeat(first, np.diff(np.append(first, len(owner))))
+    keep = place < most
+    return owner[keep], other[keep], far[keep], np.unique(owner[~keep])
+
 
-    Kept is the smallest doc_id (null last), of several such rows the one whose
-    text has the smallest digest; of rows alike in both, one.
+def _tile_pairs(a: np.ndarray, b: np.ndarray, same: bool, radius: int, radius2: int, most: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(u, v, more) node pairs of two tiles (records fp, fp2, node, label, ask): the nearest of each asking record with another label."""
+    nodes = a["node"] if same else np.concatenate([a["node"], b["node"]])
+    shift = 0 if same else len(a)
+    a_and, a_or, a_lo, a_hi = _strips(a["fp"])
+    b_and, b_or, b_lo, b_hi = (a_and, a_or, a_lo, a_hi) if same else _strips(b["fp"])
+    held: list[tuple[np.ndarray, ...]] = []
+    crowded: list[np.ndarray] = []
+    size = 0
+
+    def squeeze():
+        nonlocal held, size
+        if held:
+            owner, other, far = (np.concatenate(x) for x in zip(*held, strict=True))
+            owner, other, far, more = nearest(owner, other, far, most)
+            crowded.append(more)
+            held, size = [(owner, other, far)], 0
+
+    asks_a, asks_b = a["ask"].astype(bool), b["ask"].astype(bool)
+    for i in range(len(a_and)):
+        near = (b_lo <= a_hi[i] + radius) & (b_hi >= a_lo[i] - radius)
+        near &= np.bitwise_count((a_and[i] & ~b_or) | (b_and & ~a_or[i])) <= radius
+        if same:
+            near[:i] = False
+        left = a[i * STRIP : (i + 1) * STRIP]
+        ask_left = asks_a[i * STRIP : (i + 1) * STRIP]
+        for j in np.flatnonzero(near):
+            right = b[j * STRIP : (j + 1) * STRIP]
+            ask_right = asks_b[j * STRIP : (j + 1) * STRIP]
+            if not ask_left.any() and not ask_right.any():
+                continue
+            x, y = np.nonzero(np.bitwise_count(left["fp"][:, None] ^ right["fp"][None, :]) <= radius)
+            if not len(x):
+                continue
+            second = np.bitwise_count(left["fp2"][x] ^ right["fp2"][y])
+            ok = (second <= radius2) & (left["label"][x] != right["label"][y]) & (left["node"][x] != right["node"][y])
+            if same and i == j:
+                ok &= x < y
+            x, y, second = x[ok], y[ok], second[ok].astype(np.int64)
+            far = np.bitwise_count(left["fp"][x] ^ right["fp"][y]) + second
+            p, q = x + i * STRIP, y + j * STRIP + shift
+            for owner, other, asks in ((p, q, ask_left[x]), (q, p, ask_right[y])):
+                held.append((owner[asks], other[asks], far[asks]))
+                size += int(asks.sum())
+            if size > 1_000_000:
+                squeeze()
+    squeeze()
+    if not held:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, bool)
+    owner, other, _ = held[0]
+    more = np.isin(owner, np.concatenate(crowded))
+    return nodes[owner], nodes[other], more
+
+
+_RECORD = np.dtype([("fp", "<u8"), ("fp2", "<u8"), ("node", "<i8"), ("label", "<i8"), ("ask", "<u8")])
+
+
+def near_candidates(nodes: DataFrame, radius: int, radius2: int, most: int) -> DataFrame:
+    """(u, v, more): candidate pairs of nodes (fp, fp2, node, label, ask) by tiled exact comparison.
+
+    Of each asking node up to ``most`` nearest ones in each pair of tiles, among those of another label
+    within both radii; ``more`` says that it has others.
+    """
+    spark = nodes.sparkSession
+    cells = nodes.withColumns({"pop": F.bit_count("fp"), "lead": F.shiftrightunsigned("fp", 64 - CELL_BITS).cast("int")})
+    plan = _tiling(cells, radius)
+    if plan is None:
+        return spark.createDataFrame([], "u long, v long, more boolean")
+    where, reach, tiles = plan
+
+    def pack(table: pa.Table) -> pa.Table:
+        out = np.zeros(table.num_rows, _RECORD)
+        for name in _RECORD.names:
+            out[name] = table.column(name).to_numpy().astype(np.int64).view(out[name].dtype)
+        out = out[np.lexsort((out["fp"], np.bitwise_count(out["fp"])))]
+        return pa.table({"tile": pa.array([table.column("tile")[0].as_py()], pa.int32()), "blob": pa.array([out.tobytes()], pa.binary())})
+
+    def compare(table: pa.Table) -> pa.Table:
+        x, y = table.column("x")[0].as_py(), table.column("y")[0].as_py()
+        blobs = {t: np.frombuffer(b, _RECORD) for t, b in zip(table.column("tile").to_pylist(), table.column("blob").to_pylist(), strict=True)}
+        if x not in blobs or y not in blobs:
+            return pa.table({"u": pa.array([], pa.int64()), "v": pa.array([], pa.int64()), "more": pa.array([], pa.bool_())})
+        u, v, more = _tile_pairs(blobs[x], blobs[y], x == y, radius, radius2, most)
+        return pa.table({"u": u, "v": v, "more": more})
+
+    dealt = cells.join(where, ["pop", "lead"]).withColumn("tile", F.col("tile") + F.expr("CAST(pmod(xxhash64(node), pieces) AS INT)"))
+    packed = dealt.select("tile", *[F.col(n).cast("long") for n in _RECORD.names]).groupBy("tile").applyInArrow(pack, "tile int, blob binary")
+    sent = packed.join(F.broadcast(reach), "tile").select("tile", "blob", F.explode(F.sequence("first", "last")).alias("other"))
+    pairs = sent.select(F.least("tile", "other").alias("x"), F.greatest("tile", "other").alias("y"), "tile", "blob")
+    return pairs.repartition(max(partitions(nodes), min(tiles * 4, 2000)), "x", "y").groupBy("x", "y").applyInArrow(compare, "u long, v long, more boolean")
+
+
+def shingle_sets(rows: DataFrame, words: int) -> DataFrame:
+    """(node, shingles) of rows (node, text): distinct shingle hashes, cut to 32 bits, which shifts no similarity by more than chance equals do."""
+
+    def kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for batch in slices(whole, "text"):
+                body, at = raw_texts(batch.column(1))
+                sets = [np.unique(shingle_hashes(body[at[i] : at[i + 1]].tobytes(), words).astype(np.uint32).view(np.int32)) for i in range(batch.num_rows)]
+                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.list_(pa.int32()))], names=["node", "shingles"])
+
+    return rows.select("node", "text").mapInArrow(kernel, "node long, shingles array<int>")
+
+
+def similar_classes(df: DataFrame, similarity: float = 0.8, words: int = 5, most: int = 3, most_rounds: int = 12) -> DataFrame:
+    """doc_id, _digest and ``root`` of each row of ``df`` (doc_id, text, _digest): groups of texts alike in word shingles.
+
+    Two texts link if the Jaccard similarity of their shingle sets is at least
+    ``similarity``. Candidates come from tiled comparison of two independent
+    fingerprints within ``64 * (1 - similarity)`` bits, two more for the second; each is
+    verified on the whole texts. A text with more near ones than a round
+    offers asks again in the next, among those that aren't in its group yet,
+    with a wider offer, until none has any left over. Texts with both fingerprints
+    equal are one node; texts without words are one group.
+    """
+    radius = int(64 * (1 - similarity))
+    docs = written(with_simhash(df, words, carry=("doc_id", "_digest"), second=True), "fingerprints")
+    node = F.xxhash64("fp", "fp2").alias("node")
+    rep = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "_digest")).alias("rep")
+    nodes = written(docs.groupBy("fp", "fp2").agg(rep).select(node, "fp", "fp2", "rep.doc_id", "rep._digest"), "nodes")
+    texts = df.select("doc_id", "_digest", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+    labels = None
+    edges = None
+    asking = None
+    for _ in range(most_rounds):
+        state = nodes.select("node", "fp", "fp2")
+        state = state.withColumn("label", F.col("node")) if labels is None else state.join(labels, "node", "left").withColumn("label", F.coalesce("root", "node")).drop("root")
+        state = state.withColumn("ask", F.lit(1)) if asking is None else state.join(asking.withColumn("ask", F.lit(1)), "node", "left").withColumn("ask", F.coalesce("ask", F.lit(0)))
+        found = written(near_candidates(state, radius, radius + 2, most), "candidates")
+        pairs = written(found.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct(), "pairs")
+        if pairs.isEmpty():
+            break
+        wanted = pairs.select(F.explode(F.array("u", "v")).alias("node")).distinct().join(nodes, "node").select("node", F.col("doc_id").alias("_i"), F.col("_digest").alias("_t"))
+        held = texts.join(wanted, F.col("doc_id").eqNullSafe(F.col("_i")) & (F.col("_digest") == F.col("_t")))
+        sets = written(shingle_sets(held.select("node", "text"), words), "shingles").dropDuplicates(["node"])
+        left, right = sets.select(F.col("node").alias("u"), F.col("shingles").alias("x")), sets.select(F.col("node").alias("v"), F.col("shingles").alias("y"))
+        sizes = F.least(F.size("x"), F.size("y")) >= similarity * F.greatest(F.size("x"), F.size("y"))
+        both = F.size(F.array_intersect("x", "y"))
+        alike = pairs.join(left, "u").join(right, "v").where(sizes).withColumn("both", both).where(F.col("both") >= similarity * (F.size("x") + F.size("y") - F.col("both")))
+        edges = written(alike.select("u", "v") if edges is None else alike.select("u", "v").unionByName(edges), "links")
+        labels = components(edges)
+        asking = written(found.where("more").select(F.col("u").alias("node")).distinct(), "asking")
+        if asking.isEmpty():
+            break
+        most *= 4
+    named = nodes.select("fp", "fp2", "node")
+    named = named.withColumn("root", F.col("node")) if labels is None else named.join(labels, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    return docs.join(named.drop("node"), ["fp", "fp2"]).select("doc_id", "_digest", "root")
+
+
+def keep_one(df: DataFrame, similarity: float = 0.8, words: int = 5) -> DataFrame:
+    """The rows of ``df`` (doc_id, text and any others) of which each group of near duplicates keeps one.
+
+    Groups are those of ``similar_classes``. Kept is the smallest doc_id (null
+    last), of several such rows the one whose text has the smallest digest; of
+    rows alike in both, one.
     """
-    digest = F.md5(F.coalesce(F.col("text").cast("string"), F.lit("")))
-    keyed = df.withColumns({"_digest": digest})
-    classes = near_duplicate_classes(keyed, radius, words, carry=("doc_id", "_digest"))
+    keyed = df.withColumn("_digest", F.md5(F.coalesce(F.col("text").cast("string"), F.lit(""))))
+    classes = similar_classes(keyed, similarity, words)
     chosen = classes.groupBy("root", "doc_id", "_digest").count().groupBy("root").agg(
         F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "_digest", "count")).alias("x")
     ).select("x.doc_id", "x._digest", "x.count")
-    chosen = written(chosen, "simhash-kept").alias("c")
-    left = keyed.alias("d")
-    kept = left.join(chosen, F.col("d.doc_id").eqNullSafe(F.col("c.doc_id")) & (F.col("d._digest") == F.col("c._digest")), "left_semi")
+    chosen = written(chosen, "kept").alias("c")
+    kept = keyed.alias("d").join(chosen, F.col("d.doc_id").eqNullSafe(F.col("c.doc_id")) & (F.col("d._digest") == F.col("c._digest")), "left_semi")
     if not chosen.where("count > 1").isEmpty():  # repeated rows
         kept = kept.dropDuplicates(["doc_id", "_digest"])
     return kept.drop("_digest")

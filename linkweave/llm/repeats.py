@@ -29,9 +29,9 @@ from linkweave.llm.common import partitions, raw_texts, slices, written
 GRAM = 8
 #: Bytes from an anchor on that tell anchors apart.
 KEY = 64
-#: Places of one anchor that a task sorts together; anchors with more go by whole-string digests.
-MOST_PLACES = 4_000
-#: Bytes that one call of the suffix sort takes, whole anchors together.
+#: Places of one anchor that a task sorts together; strings of anchors with more are counted as rows.
+MOST_PLACES = 20_000
+#: Bytes that one call of the suffix sort takes, whole anchors together; an anchor with more is ordered by digests.
 KERNEL_BYTES = 4 << 20
 
 
@@ -112,6 +112,16 @@ def suffix_order(body: np.ndarray, cell: np.ndarray, length: int) -> np.ndarray:
     return rank
 
 
+def digest_order(body: np.ndarray, starts: np.ndarray, cell: np.ndarray, length: int) -> np.ndarray:
+    """Classes as ``suffix_order`` gives them at ``starts``, by 128-bit digests, in far less memory."""
+    raw = body.tobytes()
+    digest = xxhash.xxh3_128_digest
+    names = np.frombuffer(b"".join(digest(raw[i : i + length], int(c)) for i, c in zip(starts.tolist(), cell[starts].tolist(), strict=True)), dtype="V16")
+    rank = np.zeros(len(body), np.int64)
+    rank[starts] = np.unique(names, return_inverse=True)[1]
+    return rank
+
+
 def previous_factor(rank: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """For each of ``starts``, ascending positions: the previous smaller and the next larger start with the same string, -1 if none.
 
@@ -250,9 +260,9 @@ def _sorted_cells(places: DataFrame, length: int, keep_first: bool, parts: int)
         body = np.frombuffer(b"".join(blobs), np.uint8)
         lengths = np.array([len(b) for b in blobs])
         cell = np.repeat(np.array(cell_of), lengths)
-        rank = suffix_order(body, cell, length)
         n_strings = np.array([same[0][3] for same in owners])
         starts = np.concatenate([np.arange(a, a + n) for a, n in zip(at, n_strings.tolist(), strict=True)])
+        rank = suffix_order(body, cell, length) if len(body) <= 2 * KERNEL_BYTES else digest_order(body, starts, cell, length)
         before, after = previous_factor(rank, starts)
         edge = np.concatenate([[0], np.cumsum(n_strings)])
         for i, same in enumerate(owners):
@@ -277,7 +287,7 @@ def _sorted_cells(places: DataFrame, length: int, keep_first: bool, parts: int)
             for batch in slices(whole, "around"):
                 for k, *place in zip(*(batch.column(i).to_pylist() for i in range(6)), strict=True):
                     if k != last:
-                        if size > KERNEL_BYTES:
+                        if cells and (size > KERNEL_BYTES or len(cells[-1]) > 1000):
                             yield batch_of(solve(cells))
                             cells, size = [], 0
                         cells.append([])

@@ -149,9 +149,47 @@ def test_simhash_classes(docs, rows, monkeypatch):
     want = Counter((r[0], f, min(smallest[g])) for r, f, g in zip(rows, fps, group, strict=True))
     got = neardup.near_duplicate_classes(docs, radius=4, words=4).collect()
     assert Counter((r["doc_id"], r["fp"] % 2**64, r["component_id"]) for r in got) == want
-    kept = neardup.keep_one(docs, radius=4, words=4)
+
+
+def test_keep_one(spark, docs, rows, monkeypatch):
+    monkeypatch.setattr(neardup, "LEAST_TILE", 9)
+    monkeypatch.setattr(neardup, "STRIP", 4)
+    rng = random.Random(8)
+    vocab = ["".join(rng.choice("abcdefghij") for _ in range(6)) for _ in range(900)]
+    more = []
+    for g in range(4):  # groups far over what a round offers
+        base = [rng.choice(vocab) for _ in range(150)]
+        for k in range(12):
+            words = list(base)
+            for _ in range(rng.randint(0, 1)):
+                words[rng.randrange(150)] = rng.choice(vocab)
+            more.append((5000 + 100 * g + k, " ".join(words), "en", "s", 0, "x", "y", 1))
+    every = rows + more
+    table = docs.unionByName(spark.createDataFrame(more, docs.schema))
+    cut = lambda t: re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), t or ""))
+    sets = [{" ".join(w[i : i + 5]) for i in range(max(1, len(w) - 4))} if (w := cut(r[1])) else set() for r in every]
+    group = list(range(len(every)))
+
+    def find(i):
+        while group[i] != i:
+            i = group[i]
+        return i
+
+    for i, a in enumerate(sets):
+        for j in range(i):
+            b = sets[j]
+            if a == b or (a and b and len(a & b) >= 0.8 * len(a | b)):
+                x, y = find(i), find(j)
+                group[max(x, y)] = min(x, y)
+    want = {}
+    for i, r in enumerate(every):
+        if r[0] is not None:
+            want[find(i)] = min(want.get(find(i), r[0]), r[0])
+    kept = neardup.keep_one(table)
     assert kept.columns == docs.columns
-    assert Counter(r["doc_id"] for r in kept.collect()) == Counter({min(v): 1 for v in smallest.values()})
+    got = Counter(r["doc_id"] for r in kept.collect())
+    missed = set(got) ^ set(want.values())
+    assert set(got.values()) == {1} and len(missed) <= 1, missed  # texts at the very edge of the similarity may lie beyond the radius
 
 
 def test_url_rules(spark):
@@ -243,9 +281,10 @@ def test_mixing(docs, rows):
     assert mix.columns == docs.columns and mix.count() == sum(r["_copies"] for r in got)
 
 
-@pytest.mark.parametrize("most", [4000, 3])
-def test_repeats(docs, rows, most, monkeypatch):
-    monkeypatch.setattr(repeats, "MOST_PLACES", most)  # 3: nearly all anchors go by digests
+@pytest.mark.parametrize(("most", "kernel"), [(4000, 4 << 20), (3, 4 << 20), (4000, 500)])
+def test_repeats(docs, rows, most, kernel, monkeypatch):
+    monkeypatch.setattr(repeats, "MOST_PLACES", most)  # 3: nearly all anchors go as rows
+    monkeypatch.setattr(repeats, "KERNEL_BYTES", kernel)  # 500: nearly all anchors go by digests
     texts = [(r[1] or "").encode() for r in rows]
     seen = Counter(t[i : i + 400] for t in texts for i in range(len(t) - 399))
     want = Counter()
