@@ -349,16 +349,18 @@ def shingle_sets(rows: DataFrame, words: int) -> DataFrame:
     return rows.select("node", "text").mapInArrow(kernel, "node long, shingles array<int>")
 
 
-def similar_classes(df: DataFrame, similarity: float = 0.8, words: int = 5, most: int = 3, most_rounds: int = 12) -> DataFrame:
+def similar_classes(df: DataFrame, similarity: float = 0.8, words: int = 5, most: int = 2, most_rounds: int = 30) -> DataFrame:
     """doc_id, _digest and ``root`` of each row of ``df`` (doc_id, text, _digest): groups of texts alike in word shingles.
 
     Two texts link if the Jaccard similarity of their shingle sets is at least
     ``similarity``. Candidates come from tiled comparison of two independent
     fingerprints within ``64 * (1 - similarity)`` bits, two more for the second; each is
-    verified on the whole texts. A text with more near ones than a round
-    offers asks again in the next, among those that aren't in its group yet,
-    with a wider offer, until none has any left over. Texts with both fingerprints
-    equal are one node; texts without words are one group.
+    verified on the whole texts. Each text is offered its nearest ones by
+    fingerprints (``most`` in each pair of tiles). If some were left over, and
+    a link was verified, it asks again among those that aren't in its group
+    yet, until no link is new; a text whose nearest ones all fail verification
+    has no link. Texts with both fingerprints equal are one node; texts
+    without words are one group.
     """
     radius = int(64 * (1 - similarity))
     docs = written(with_simhash(df, words, carry=("doc_id", "_digest"), second=True), "fingerprints")
@@ -386,10 +388,10 @@ def similar_classes(df: DataFrame, similarity: float = 0.8, words: int = 5, most
         alike = pairs.join(left, "u").join(right, "v").where(sizes).withColumn("both", both).where(F.col("both") >= similarity * (F.size("x") + F.size("y") - F.col("both")))
         edges = written(alike.select("u", "v") if edges is None else alike.select("u", "v").unionByName(edges), "links")
         labels = components(edges)
-        asking = written(found.where("more").select(F.col("u").alias("node")).distinct(), "asking")
+        fresh = written(alike.select(F.explode(F.array("u", "v")).alias("node")).distinct(), "linked")
+        asking = written(found.where("more").select(F.col("u").alias("node")).distinct().join(fresh, "node", "left_semi"), "asking")
         if asking.isEmpty():
             break
-        most *= 4
     named = nodes.select("fp", "fp2", "node")
     named = named.withColumn("root", F.col("node")) if labels is None else named.join(labels, "node", "left").withColumn("root", F.coalesce("root", "node"))
     return docs.join(named.drop("node"), ["fp", "fp2"]).select("doc_id", "_digest", "root")
