@@ -11,6 +11,7 @@ tiles is a task and returns a spanning forest of its links, never all pairs.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -55,10 +56,10 @@ def remixed(hashes: np.ndarray) -> np.ndarray:
     return (out ^ (out >> np.uint64(29))) * np.uint64(0xD6E8FEB86659FD93)
 
 
-def fingerprints_of(body: np.ndarray, offsets: np.ndarray, words: int, second: bool = False) -> tuple[np.ndarray, np.ndarray]:
-    """Fingerprints of texts that lie end to end, and with ``second`` those of their remixed hashes, else 0."""
+def fingerprints_of(body: np.ndarray, offsets: np.ndarray, words: int, marks: bool = False) -> tuple[np.ndarray, ...]:
+    """Fingerprints of texts that lie end to end; with ``marks`` also those of their remixed hashes and the sizes of their shingle sets."""
     n = len(offsets) - 1
-    out, out2 = np.zeros(n, np.uint64), np.zeros(n, np.uint64)
+    out, out2, sizes = (np.zeros(n, np.uint64) for _ in range(3))
     held, rows, size = [], [], 0
 
     def flush():
@@ -67,12 +68,14 @@ def fingerprints_of(body: np.ndarray, offsets: np.ndarray, words: int, second: b
             counts = np.array([len(h) for h in held])
             hashes, starts = np.concatenate(held), np.concatenate([[0], np.cumsum(counts)[:-1]])
             out[rows] = majority(hashes, starts, counts)
-            if second:
+            if marks:
                 out2[rows] = majority(remixed(hashes), starts, counts)
         held, rows, size = [], [], 0
 
     for i in range(n):
         hashes = shingle_hashes(body[offsets[i] : offsets[i + 1]].tobytes(), words)
+        if marks:
+            sizes[i] = len(np.unique(hashes.astype(np.uint32)))
         if len(hashes):
             held.append(hashes)
             rows.append(i)
@@ -80,14 +83,18 @@ def fingerprints_of(body: np.ndarray, offsets: np.ndarray, words: int, second: b
         if size > 60_000:
             flush()
     flush()
-    return out, out2
+    return (out, out2, sizes) if marks else (out,)
 
 
-def with_simhash(df: DataFrame, words: int = 4, text: str = "text", carry: tuple[str, ...] = ("doc_id",), second: bool = False) -> DataFrame:
-    """The ``carry`` columns and ``fp``, the signed fingerprint of ``text``, with ``second`` also an independent ``fp2``; null and empty texts have 0."""
+#: Columns that ``with_simhash`` adds.
+MARKS = ("fp", "fp2", "size")
+
+
+def with_simhash(df: DataFrame, words: int = 4, text: str = "text", carry: tuple[str, ...] = ("doc_id",), marks: bool = False) -> DataFrame:
+    """The ``carry`` columns and ``fp``, the signed fingerprint of ``text``, with ``marks`` all of MARKS; null and empty texts have 0."""
     source = df.select(*carry, F.col(text).cast("string").alias("_text"))
     fields = [*source.drop("_text").schema.fields]
-    names = ["fp", "fp2"] if second else ["fp"]
+    names = MARKS if marks else MARKS[:1]
     schema = source.drop("_text").schema
     for name in names:
         schema = schema.add(name, "long")
@@ -95,8 +102,8 @@ def with_simhash(df: DataFrame, words: int = 4, text: str = "text", carry: tuple
     def kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for batch in slices(whole, "_text"):
-                found = fingerprints_of(*raw_texts(batch.column(len(fields))), words, second)
-                own = [pa.array(f.view(np.int64)) for f, _ in zip(found, names, strict=False)]
+                found = fingerprints_of(*raw_texts(batch.column(len(fields))), words, marks)
+                own = [pa.array(f.view(np.int64)) for f in found]
                 yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(len(fields))), *own], names=[*carry, *names])
 
     return source.mapInArrow(kernel, schema)
@@ -234,106 +241,168 @@ def near_duplicate_classes(df: DataFrame, radius: int = 4, words: int = 4, carry
     return docs.join(named.join(smallest, "root").select("fp", "root", "component_id"), "fp", "left")
 
 
-def nearest(owner: np.ndarray, other: np.ndarray, far: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """The ``most`` nearest others of each owner, ties by other; and which owners have more."""
-    order = np.lexsort((other, far, owner))
-    owner, other, far = owner[order], other[order], far[order]
-    first = np.concatenate([[0], np.flatnonzero(owner[1:] != owner[:-1]) + 1]) if len(owner) else np.zeros(0, np.int64)
-    place = np.arange(len(owner)) - np.repeat(first, np.diff(np.append(first, len(owner))))
-    keep = place < most
-    return owner[keep], other[keep], far[keep], np.unique(owner[~keep])
+#: Of a cell: texts on a side, and distinct shingles on a side beyond one text's.
+CELL_TEXTS, CELL_SHINGLES = 256, 1 << 20
+#: Candidates of a pair of tiles held before cells are cut from them, and shared shingles in one matrix product.
+MOST_HELD, MOST_SHARED = 4_000_000, 1 << 14
+#: Size classes of shingle sets for each factor of 1 / similarity.
+SIZE_STEPS = 16
 
 
-def _tile_pairs(a: np.ndarray, b: np.ndarray, same: bool, radius: int, radius2: int, most: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(u, v, more) node pairs of two tiles (records fp, fp2, node, label, ask): the nearest of each asking record with another label."""
-    nodes = a["node"] if same else np.concatenate([a["node"], b["node"]])
-    shift = 0 if same else len(a)
-    a_and, a_or, a_lo, a_hi = _strips(a["fp"])
-    b_and, b_or, b_lo, b_hi = (a_and, a_or, a_lo, a_hi) if same else _strips(b["fp"])
-    held: list[tuple[np.ndarray, ...]] = []
-    crowded: list[np.ndarray] = []
-    size = 0
-
-    def squeeze():
-        nonlocal held, size
-        if held:
-            owner, other, far = (np.concatenate(x) for x in zip(*held, strict=True))
-            owner, other, far, more = nearest(owner, other, far, most)
-            crowded.append(more)
-            held, size = [(owner, other, far)], 0
-
-    asks_a, asks_b = a["ask"].astype(bool), b["ask"].astype(bool)
-    for i in range(len(a_and)):
-        near = (b_lo <= a_hi[i] + radius) & (b_hi >= a_lo[i] - radius)
-        near &= np.bitwise_count((a_and[i] & ~b_or) | (b_and & ~a_or[i])) <= radius
-        if same:
-            near[:i] = False
-        left = a[i * STRIP : (i + 1) * STRIP]
-        ask_left = asks_a[i * STRIP : (i + 1) * STRIP]
-        for j in np.flatnonzero(near):
-            right = b[j * STRIP : (j + 1) * STRIP]
-            ask_right = asks_b[j * STRIP : (j + 1) * STRIP]
-            if not ask_left.any() and not ask_right.any():
+def _near_pairs(a: np.ndarray, b: np.ndarray, same: bool, radius: int, radius2: int, similarity: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """All places (in a, in b) of candidates of two tiles (records fp, fp2, node, size), a strip of a with one of b at a time."""
+    for i in range(0, len(a), STRIP):
+        left = a[i : i + STRIP]
+        for j in range(i if same else 0, len(b), STRIP):
+            right = b[j : j + STRIP]
+            if min(left["size"].max(), right["size"].max()) < similarity * max(left["size"].min(), right["size"].min()):
                 continue
             x, y = np.nonzero(np.bitwise_count(left["fp"][:, None] ^ right["fp"][None, :]) <= radius)
-            if not len(x):
-                continue
-            second = np.bitwise_count(left["fp2"][x] ^ right["fp2"][y])
-            ok = (second <= radius2) & (left["label"][x] != right["label"][y]) & (left["node"][x] != right["node"][y])
+            m, n = left["size"][x], right["size"][y]
+            ok = (np.bitwise_count(left["fp2"][x] ^ right["fp2"][y]) <= radius2) & (np.minimum(m, n) >= similarity * np.maximum(m, n))
             if same and i == j:
                 ok &= x < y
-            x, y, second = x[ok], y[ok], second[ok].astype(np.int64)
-            far = np.bitwise_count(left["fp"][x] ^ right["fp"][y]) + second
-            p, q = x + i * STRIP, y + j * STRIP + shift
-            for owner, other, asks in ((p, q, ask_left[x]), (q, p, ask_right[y])):
-                held.append((owner[asks], other[asks], far[asks]))
-                size += int(asks.sum())
-            if size > 1_000_000:
-                squeeze()
-    squeeze()
-    if not held:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, bool)
-    owner, other, _ = held[0]
-    more = np.isin(owner, np.concatenate(crowded))
-    return nodes[owner], nodes[other], more
-
-
-_RECORD = np.dtype([("fp", "<u8"), ("fp2", "<u8"), ("node", "<i8"), ("label", "<i8"), ("ask", "<u8")])
-
-
-def near_candidates(nodes: DataFrame, radius: int, radius2: int, most: int) -> DataFrame:
-    """(u, v, more): candidate pairs of nodes (fp, fp2, node, label, ask) by tiled exact comparison.
-
-    Of each asking node up to ``most`` nearest ones in each pair of tiles, among those of another label
-    within both radii; ``more`` says that it has others.
+            if ok.any():
+                yield x[ok] + i, y[ok] + j
+
+
+def _blocks(root: np.ndarray, size: np.ndarray, of: np.ndarray) -> np.ndarray:
+    """The block of each place that ``of`` has: places of one root lie together."""
+    places = np.unique(of)
+    places = places[np.lexsort((places, root[places]))]
+    block = np.zeros(len(root), np.int64)
+    block[places] = np.cumsum(np.maximum(size[places] / CELL_SHINGLES, 1 / CELL_TEXTS)).astype(np.int64)
+    return block
+
+
+def _cells(a: np.ndarray, b: np.ndarray, p: np.ndarray, q: np.ndarray, same: bool) -> Iterator[tuple[np.ndarray, np.ndarray, bytes]]:
+    """The candidates (places p in a and q in b) as cells: nodes of a, nodes of b, and a bit for each pair of them.
+
+    Texts with candidates in common come into the same cells, so a family of k texts is sent about
+    k / CELL_TEXTS times and not k times.
+    """
+    shift = 0 if same else len(a)
+    root = np.arange(shift + len(b))
+    for _ in range(2):
+        np.minimum.at(root, p, root[q + shift])
+        np.minimum.at(root, q + shift, root[p])
+    bp, bq = (_blocks(root, a["size"], np.concatenate([p, q])),) * 2 if same else (_blocks(root[:shift], a["size"], p), _blocks(root[shift:], b["size"], q))
+    if same:  # else a pair of blocks makes two cells
+        p, q = np.where(bp[p] <= bp[q], p, q), np.where(bp[p] <= bp[q], q, p)
+    order = np.lexsort((bq[q], bp[p]))
+    p, q = p[order], q[order]
+    ends = np.flatnonzero((np.diff(bp[p]) != 0) | (np.diff(bq[q]) != 0)) + 1
+    for u, v in zip(np.split(p, ends), np.split(q, ends), strict=True):
+        left, x = np.unique(u, return_inverse=True)
+        right, y = np.unique(v, return_inverse=True)
+        hit = np.zeros((len(left), len(right)), bool)
+        hit[x, y] = True
+        yield a["node"][left], b["node"][right], np.packbits(hit).tobytes()
+
+
+_RECORD = np.dtype([("fp", "<u8"), ("fp2", "<u8"), ("node", "<i8"), ("size", "<i8")])
+
+
+def near_candidates(nodes: DataFrame, radius: int, radius2: int, similarity: float) -> DataFrame:
+    """(cell, left, right, hit): all pairs of nodes (fp, fp2, node, size) within both radii whose sizes allow the similarity.
+
+    Found by tiled exact comparison. A row has up to CELL_TEXTS nodes on a side, and
+    ``hit`` has a bit for each pair of them. Tiles are cut by size, and tiles whose sizes differ too much aren't compared.
     """
     spark = nodes.sparkSession
-    cells = nodes.withColumns({"pop": F.bit_count("fp"), "lead": F.shiftrightunsigned("fp", 64 - CELL_BITS).cast("int")})
-    plan = _tiling(cells, radius)
+    steps = F.floor(F.log(F.col("size").cast("double")) * (SIZE_STEPS / -math.log(similarity))).cast("int")
+    cells = nodes.where("size > 0").withColumns({"pop": steps, "lead": F.shiftrightunsigned("fp", 64 - CELL_BITS).cast("int")})
+    plan = _tiling(cells, SIZE_STEPS + 1)
     if plan is None:
-        return spark.createDataFrame([], "u long, v long, more boolean")
+        return spark.createDataFrame([], "cell string, left array<long>, right array<long>, hit binary")
     where, reach, tiles = plan
 
     def pack(table: pa.Table) -> pa.Table:
         out = np.zeros(table.num_rows, _RECORD)
         for name in _RECORD.names:
             out[name] = table.column(name).to_numpy().astype(np.int64).view(out[name].dtype)
-        out = out[np.lexsort((out["fp"], np.bitwise_count(out["fp"])))]
+        out = out[np.lexsort((out["node"], out["size"]))]
         return pa.table({"tile": pa.array([table.column("tile")[0].as_py()], pa.int32()), "blob": pa.array([out.tobytes()], pa.binary())})
 
     def compare(table: pa.Table) -> pa.Table:
         x, y = table.column("x")[0].as_py(), table.column("y")[0].as_py()
         blobs = {t: np.frombuffer(b, _RECORD) for t, b in zip(table.column("tile").to_pylist(), table.column("blob").to_pylist(), strict=True)}
-        if x not in blobs or y not in blobs:
-            return pa.table({"u": pa.array([], pa.int64()), "v": pa.array([], pa.int64()), "more": pa.array([], pa.bool_())})
-        u, v, more = _tile_pairs(blobs[x], blobs[y], x == y, radius, radius2, most)
-        return pa.table({"u": u, "v": v, "more": more})
+        found: list[tuple[np.ndarray, np.ndarray, bytes]] = []
+        held: list[tuple[np.ndarray, np.ndarray]] = []
+
+        def flush():
+            if held:
+                p, q = (np.concatenate(z) for z in zip(*held, strict=True))
+                found.extend(_cells(blobs[x], blobs[y], p, q, x == y))
+                held.clear()
+
+        if x in blobs and y in blobs:
+            size = 0
+            for p, q in _near_pairs(blobs[x], blobs[y], x == y, radius, radius2, similarity):
+                held.append((p, q))
+                size += len(p)
+                if size > MOST_HELD:
+                    flush()
+                    size = 0
+            flush()
+        kinds = {"left": pa.list_(pa.int64()), "right": pa.list_(pa.int64()), "hit": pa.binary()}
+        own = {name: pa.array([f[i] for f in found], kind) for i, (name, kind) in enumerate(kinds.items())}
+        return pa.table({"cell": pa.array([f"{x} {y} {i}" for i in range(len(found))], pa.string())} | own)
 
     dealt = cells.join(where, ["pop", "lead"]).withColumn("tile", F.col("tile") + F.expr("CAST(pmod(xxhash64(node), pieces) AS INT)"))
     packed = dealt.select("tile", *[F.col(n).cast("long") for n in _RECORD.names]).groupBy("tile").applyInArrow(pack, "tile int, blob binary")
     sent = packed.join(F.broadcast(reach), "tile").select("tile", "blob", F.explode(F.sequence("first", "last")).alias("other"))
     pairs = sent.select(F.least("tile", "other").alias("x"), F.greatest("tile", "other").alias("y"), "tile", "blob")
-    return pairs.repartition(max(partitions(nodes), min(tiles * 4, 2000)), "x", "y").groupBy("x", "y").applyInArrow(compare, "u long, v long, more boolean")
+    return pairs.repartition(max(partitions(nodes), min(tiles * 4, 2000)), "x", "y").groupBy("x", "y").applyInArrow(compare, "cell string, left array<long>, right array<long>, hit binary")
+
+
+def shared(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+    """How many elements each set on the left shares with each on the right; sets are arrays without repeats."""
+    values = [np.concatenate(s) for s in (left, right)]
+    common = np.intersect1d(*values)
+    both = np.zeros((len(left), len(right)), np.int64)
+    sides = []
+    for sets, v in zip((left, right), values, strict=True):
+        owner = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+        at = np.searchsorted(common, v)
+        ok = at < len(common)
+        ok[ok] = common[at[ok]] == v[ok]
+        order = np.argsort(at[ok], kind="stable")
+        sides.append((owner[ok][order], at[ok][order]))
+    for lo in range(0, len(common), MOST_SHARED):
+        product = []
+        for sets, (owner, at) in zip((left, right), sides, strict=True):
+            i, j = np.searchsorted(at, [lo, lo + MOST_SHARED])
+            dense = np.zeros((len(sets), min(MOST_SHARED, len(common) - lo)), np.float32)
+            dense[owner[i:j], at[i:j] - lo] = 1
+            product.append(dense)
+        both += (product[0] @ product[1].T).astype(np.int64)
+    return both
+
+
+def cell_links(table: pa.Table, cell: pa.Table, similarity: float) -> pa.Table:
+    """(u, v): a forest with the connectivity of the links of one cell, given the sets (node, shingles) of its nodes."""
+    shingles = table.column("shingles")
+    sets = {}
+    for nodes, chunk in zip(table.column("node").chunks, shingles.chunks, strict=True):
+        at, values = chunk.offsets.to_numpy() - chunk.offsets[0].as_py(), chunk.flatten().to_numpy()
+        sets |= {n: values[at[i] : at[i + 1]] for i, n in enumerate(nodes.to_pylist())}
+    left, right = cell.column("left")[0].as_py(), cell.column("right")[0].as_py()
+    hit = np.unpackbits(np.frombuffer(cell.column("hit")[0].as_py(), np.uint8), count=len(left) * len(right)).reshape(len(left), len(right)).astype(bool)
+    a, b = [sets[n] for n in left], [sets[n] for n in right]
+    both = shared(a, b)
+    total = np.array([len(s) for s in a])[:, None] + np.array([len(s) for s in b])[None, :]
+    x, y = np.nonzero(hit & (both >= similarity * (total - both)))
+    nodes, place = np.unique(np.array([*left, *right], np.int64), return_inverse=True)
+    x, y = place[x], place[y + len(left)]
+    root, was = np.arange(len(nodes)), None
+    while was is None or np.any(root != was):
+        was = root.copy()
+        np.minimum.at(root, x, root[y])
+        np.minimum.at(root, y, root[x])
+        root = root[root]
+    child = np.flatnonzero(root != np.arange(len(nodes)))
+    return pa.table({"u": nodes[child], "v": nodes[root[child]]})
 
 
 def shingle_sets(rows: DataFrame, words: int) -> DataFrame:
@@ -349,51 +418,35 @@ def shingle_sets(rows: DataFrame, words: int) -> DataFrame:
     return rows.select("node", "text").mapInArrow(kernel, "node long, shingles array<int>")
 
 
-def similar_classes(df: DataFrame, similarity: float = 0.8, words: int = 5, most: int = 2, most_rounds: int = 30) -> DataFrame:
+def similar_classes(df: DataFrame, similarity: float = 0.8, words: int = 5) -> DataFrame:
     """doc_id, _digest and ``root`` of each row of ``df`` (doc_id, text, _digest): groups of texts alike in word shingles.
 
     Two texts link if the Jaccard similarity of their shingle sets is at least
     ``similarity``. Candidates come from tiled comparison of two independent
-    fingerprints within ``64 * (1 - similarity)`` bits, two more for the second; each is
-    verified on the whole texts. Each text is offered its nearest ones by
-    fingerprints (``most`` in each pair of tiles). If some were left over, and
-    a link was verified, it asks again among those that aren't in its group
-    yet, until no link is new; a text whose nearest ones all fail verification
-    has no link. Texts with both fingerprints equal are one node; texts
+    fingerprints within ``64 * (1 - similarity)`` bits, two more for the second.
+    All candidates are verified on the whole texts, by matrix products over the
+    shingles that the texts of a cell share; of the links a forest is kept.
+    Texts with both fingerprints equal are one node; texts
     without words are one group.
     """
     radius = int(64 * (1 - similarity))
-    docs = written(with_simhash(df, words, carry=("doc_id", "_digest"), second=True), "fingerprints")
+    docs = written(with_simhash(df, words, carry=("doc_id", "_digest"), marks=True), "fingerprints")
     node = F.xxhash64("fp", "fp2").alias("node")
-    rep = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "_digest")).alias("rep")
-    nodes = written(docs.groupBy("fp", "fp2").agg(rep).select(node, "fp", "fp2", "rep.doc_id", "rep._digest"), "nodes")
+    rep = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "_digest", "size")).alias("rep")
+    nodes = written(docs.groupBy("fp", "fp2").agg(rep).select(node, "fp", "fp2", "rep.doc_id", "rep._digest", "rep.size"), "nodes")
     texts = df.select("doc_id", "_digest", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    labels = None
-    edges = None
-    asking = None
-    for _ in range(most_rounds):
-        state = nodes.select("node", "fp", "fp2")
-        state = state.withColumn("label", F.col("node")) if labels is None else state.join(labels, "node", "left").withColumn("label", F.coalesce("root", "node")).drop("root")
-        state = state.withColumn("ask", F.lit(1)) if asking is None else state.join(asking.withColumn("ask", F.lit(1)), "node", "left").withColumn("ask", F.coalesce("ask", F.lit(0)))
-        found = written(near_candidates(state, radius, radius + 2, most), "candidates")
-        pairs = written(found.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct(), "pairs")
-        if pairs.isEmpty():
-            break
-        wanted = pairs.select(F.explode(F.array("u", "v")).alias("node")).distinct().join(nodes, "node").select("node", F.col("doc_id").alias("_i"), F.col("_digest").alias("_t"))
-        held = texts.join(wanted, F.col("doc_id").eqNullSafe(F.col("_i")) & (F.col("_digest") == F.col("_t")))
-        sets = written(shingle_sets(held.select("node", "text"), words), "shingles").dropDuplicates(["node"])
-        left, right = sets.select(F.col("node").alias("u"), F.col("shingles").alias("x")), sets.select(F.col("node").alias("v"), F.col("shingles").alias("y"))
-        sizes = F.least(F.size("x"), F.size("y")) >= similarity * F.greatest(F.size("x"), F.size("y"))
-        both = F.size(F.array_intersect("x", "y"))
-        alike = pairs.join(left, "u").join(right, "v").where(sizes).withColumn("both", both).where(F.col("both") >= similarity * (F.size("x") + F.size("y") - F.col("both")))
-        edges = written(alike.select("u", "v") if edges is None else alike.select("u", "v").unionByName(edges), "links")
-        labels = components(edges)
-        fresh = written(alike.select(F.explode(F.array("u", "v")).alias("node")).distinct(), "linked")
-        asking = written(found.where("more").select(F.col("u").alias("node")).distinct().join(fresh, "node", "left_semi"), "asking")
-        if asking.isEmpty():
-            break
-    named = nodes.select("fp", "fp2", "node")
-    named = named.withColumn("root", F.col("node")) if labels is None else named.join(labels, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    cells = written(near_candidates(nodes.select("node", "fp", "fp2", "size"), radius, radius + 2, similarity), "cells")
+    asked = written(cells.select("cell", F.explode(F.array_distinct(F.concat("left", "right"))).alias("node")), "asked")
+    wanted = asked.select("node").distinct().join(nodes, "node").select("node", F.col("doc_id").alias("_i"), F.col("_digest").alias("_t"))
+    held = texts.join(wanted, F.col("doc_id").eqNullSafe(F.col("_i")) & (F.col("_digest") == F.col("_t")))
+    sets = written(shingle_sets(held.select("node", "text"), words), "shingles").dropDuplicates(["node"])
+
+    def verify(table: pa.Table, cell: pa.Table) -> pa.Table:
+        return cell_links(table.select(["node", "shingles"]), cell, similarity)
+
+    links = asked.join(sets, "node").groupBy("cell").cogroup(cells.groupBy("cell")).applyInArrow(verify, "u long, v long")
+    labels = components(written(links, "links"))
+    named = nodes.select("fp", "fp2", "node").join(labels, "node", "left").withColumn("root", F.coalesce("root", "node"))
     return docs.join(named.drop("node"), ["fp", "fp2"]).select("doc_id", "_digest", "root")
 
 

@@ -6,8 +6,10 @@ import re
 import zlib
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 from linkweave.llm import decontaminate, fingerprints, mixing, neardup, queries, repeats, secrets, sharding, urlfilter
 
@@ -363,3 +365,26 @@ def test_empty_tables(spark, docs):
     assert repeats.removed(none).count() == 0
     assert decontaminate.contamination(none, bench).count() == 0
     assert decontaminate.contamination(docs, bench).where("n_hit > 0").count() == 0
+
+
+def test_near_duplicate_beyond_nearer_ones(spark, monkeypatch):
+    """A text whose nearest candidates fail still gets its link: families of one template with a pair at J of about 0.82."""
+    monkeypatch.setattr(neardup, "CELL_TEXTS", 5)
+    rng = random.Random(12)
+    texts = []
+    for f in range(12):
+        base = [f"w{f}x{i}" for i in range(300)]
+        for k in range(12):  # J below 0.8 to each other and to the pair
+            cuts = rng.sample(range(6, 290, 6), 4)
+            texts.append(" ".join(f"v{f}y{k}" if i in cuts else w for i, w in enumerate(base)))
+        for k in range(2):
+            cuts = rng.sample(range(6, 290, 6), 3)
+            texts.append(" ".join(f"q{f}z{k}" if i in cuts else w for i, w in enumerate(base)))
+    sets = [{" ".join(w[i : i + 5]) for i in range(len(w) - 4)} for w in (t.split() for t in texts)]
+    marks = [[int(x[0]) for x in neardup.fingerprints_of(np.frombuffer(t.encode(), np.uint8), np.array([0, len(t)]), 5, True)[:2]] for t in texts]
+    near = lambda i, j: all((x ^ y).bit_count() <= most for x, y, most in zip(marks[i], marks[j], (12, 14), strict=True))
+    links = [(i, j) for j in range(len(texts)) for i in range(j) if near(i, j) and len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j])]
+    rows = spark.createDataFrame([(i, t, str(i)) for i, t in enumerate(texts)], "doc_id long, text string, _digest string")
+    rows = rows.withColumn("_digest", F.md5("text")).repartition(4)
+    root = {r["doc_id"]: r["root"] for r in neardup.similar_classes(rows).collect()}
+    assert len(links) > 40 and not [(i, j) for i, j in links if root[i] != root[j]]
