@@ -57,9 +57,9 @@ def remixed(hashes: np.ndarray) -> np.ndarray:
 
 
 def fingerprints_of(body: np.ndarray, offsets: np.ndarray, words: int, marks: bool = False) -> tuple[np.ndarray, ...]:
-    """Fingerprints of texts that lie end to end; with ``marks`` also those of their remixed hashes and the sizes of their shingle sets."""
+    """Fingerprints of texts that lie end to end; with ``marks`` also those of their remixed hashes, and the sizes and digests of their shingle sets."""
     n = len(offsets) - 1
-    out, out2, sizes = (np.zeros(n, np.uint64) for _ in range(3))
+    out, out2, sizes, digests = (np.zeros(n, np.uint64) for _ in range(4))
     held, rows, size = [], [], 0
 
     def flush():
@@ -75,7 +75,9 @@ def fingerprints_of(body: np.ndarray, offsets: np.ndarray, words: int, marks: bo
     for i in range(n):
         hashes = shingle_hashes(body[offsets[i] : offsets[i + 1]].tobytes(), words)
         if marks:
-            sizes[i] = len(np.unique(hashes.astype(np.uint32)))
+            distinct = np.unique(hashes)
+            sizes[i] = len(np.unique(distinct.astype(np.uint32)))
+            digests[i] = xxhash.xxh64_intdigest(distinct.tobytes())
         if len(hashes):
             held.append(hashes)
             rows.append(i)
@@ -83,11 +85,11 @@ def fingerprints_of(body: np.ndarray, offsets: np.ndarray, words: int, marks: bo
         if size > 60_000:
             flush()
     flush()
-    return (out, out2, sizes) if marks else (out,)
+    return (out, out2, sizes, digests) if marks else (out,)
 
 
 #: Columns that ``with_simhash`` adds.
-MARKS = ("fp", "fp2", "size")
+MARKS = ("fp", "fp2", "size", "node")
 
 
 def with_simhash(df: DataFrame, words: int = 4, text: str = "text", carry: tuple[str, ...] = ("doc_id",), marks: bool = False) -> DataFrame:
@@ -426,14 +428,12 @@ def similar_classes(df: DataFrame, similarity: float = 0.8, words: int = 5) -> D
     fingerprints within ``64 * (1 - similarity)`` bits, two more for the second.
     All candidates are verified on the whole texts, by matrix products over the
     shingles that the texts of a cell share; of the links a forest is kept.
-    Texts with both fingerprints equal are one node; texts
-    without words are one group.
+    Texts with equal shingle sets are one node; texts without words are one group.
     """
     radius = int(64 * (1 - similarity))
     docs = written(with_simhash(df, words, carry=("doc_id", "_digest"), marks=True), "fingerprints")
-    node = F.xxhash64("fp", "fp2").alias("node")
-    rep = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "_digest", "size")).alias("rep")
-    nodes = written(docs.groupBy("fp", "fp2").agg(rep).select(node, "fp", "fp2", "rep.doc_id", "rep._digest", "rep.size"), "nodes")
+    rep = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "_digest", "fp", "fp2", "size")).alias("rep")
+    nodes = written(docs.groupBy("node").agg(rep).select("node", "rep.fp", "rep.fp2", "rep.doc_id", "rep._digest", "rep.size"), "nodes")
     texts = df.select("doc_id", "_digest", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     cells = written(near_candidates(nodes.select("node", "fp", "fp2", "size"), radius, radius + 2, similarity), "cells")
     asked = written(cells.select("cell", F.explode(F.array_distinct(F.concat("left", "right"))).alias("node")), "asked")
@@ -446,8 +446,8 @@ def similar_classes(df: DataFrame, similarity: float = 0.8, words: int = 5) -> D
 
     links = asked.join(sets, "node").groupBy("cell").cogroup(cells.groupBy("cell")).applyInArrow(verify, "u long, v long")
     labels = components(written(links, "links"))
-    named = nodes.select("fp", "fp2", "node").join(labels, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    return docs.join(named.drop("node"), ["fp", "fp2"]).select("doc_id", "_digest", "root")
+    named = nodes.select("node").join(labels, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    return docs.join(named, "node").select("doc_id", "_digest", "root")
 
 
 def keep_one(df: DataFrame, similarity: float = 0.8, words: int = 5) -> DataFrame:

@@ -388,3 +388,32 @@ def test_near_duplicate_beyond_nearer_ones(spark, monkeypatch):
     rows = rows.withColumn("_digest", F.md5("text")).repartition(4)
     root = {r["doc_id"]: r["root"] for r in neardup.similar_classes(rows).collect()}
     assert len(links) > 40 and not [(i, j) for i, j in links if root[i] != root[j]]
+
+
+def brute_groups(texts, similarity=0.8, words=5):
+    """The group of each text, by all pairs of shingle sets."""
+    cut = [t.lower().split() for t in texts]
+    sets = [{" ".join(w[i : i + words]) for i in range(max(1, len(w) - words + 1))} for w in cut]
+    group = list(range(len(texts)))
+
+    def find(i):
+        while group[i] != i:
+            i = group[i]
+        return i
+
+    for i, a in enumerate(sets):
+        for j in range(i):
+            if len(a & sets[j]) >= similarity * len(a | sets[j]):
+                x, y = find(i), find(j)
+                group[max(x, y)] = min(x, y)
+    return [find(i) for i in range(len(texts))]
+
+
+def kept_ids(spark, texts):
+    return sorted(r["doc_id"] for r in neardup.keep_one(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)).collect())
+
+
+def test_repeated_line_is_no_near_duplicate(spark):
+    """Texts that share one line, repeated until it decides both fingerprints, stay."""
+    texts = ["one line of nine words said again and again " * 100 + " ".join(f"u{k}x{i}" for i in range(300)) for k in range(6)]
+    assert len(set(brute_groups(texts))) == 6 and kept_ids(spark, texts) == list(range(6))
