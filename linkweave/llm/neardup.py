@@ -251,7 +251,7 @@ MOST_HELD, MOST_SHARED = 4_000_000, 1 << 14
 SIZE_STEPS = 16
 
 
-def _near_pairs(a: np.ndarray, b: np.ndarray, same: bool, radius: int, radius2: int, similarity: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+def _near_pairs(a: np.ndarray, b: np.ndarray, same: bool, radius: int, similarity: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """All places (in a, in b) of candidates of two tiles (records fp, fp2, node, size), a strip of a with one of b at a time."""
     for i in range(0, len(a), STRIP):
         left = a[i : i + STRIP]
@@ -261,7 +261,7 @@ def _near_pairs(a: np.ndarray, b: np.ndarray, same: bool, radius: int, radius2:
                 continue
             x, y = np.nonzero(np.bitwise_count(left["fp"][:, None] ^ right["fp"][None, :]) <= radius)
             m, n = left["size"][x], right["size"][y]
-            ok = (np.bitwise_count(left["fp2"][x] ^ right["fp2"][y]) <= radius2) & (np.minimum(m, n) >= similarity * np.maximum(m, n))
+            ok = (np.bitwise_count(left["fp2"][x] ^ right["fp2"][y]) <= radius) & (np.minimum(m, n) >= similarity * np.maximum(m, n))
             if same and i == j:
                 ok &= x < y
             if ok.any():
@@ -305,7 +305,7 @@ def _cells(a: np.ndarray, b: np.ndarray, p: np.ndarray, q: np.ndarray, same: boo
 _RECORD = np.dtype([("fp", "<u8"), ("fp2", "<u8"), ("node", "<i8"), ("size", "<i8")])
 
 
-def near_candidates(nodes: DataFrame, radius: int, radius2: int, similarity: float) -> DataFrame:
+def near_candidates(nodes: DataFrame, radius: int, similarity: float) -> DataFrame:
     """(cell, left, right, hit): all pairs of nodes (fp, fp2, node, size) within both radii whose sizes allow the similarity.
 
     Found by tiled exact comparison. A row has up to CELL_TEXTS nodes on a side, and
@@ -340,7 +340,7 @@ def near_candidates(nodes: DataFrame, radius: int, radius2: int, similarity: flo
 
         if x in blobs and y in blobs:
             size = 0
-            for p, q in _near_pairs(blobs[x], blobs[y], x == y, radius, radius2, similarity):
+            for p, q in _near_pairs(blobs[x], blobs[y], x == y, radius, similarity):
                 held.append((p, q))
                 size += len(p)
                 if size > MOST_HELD:
@@ -420,22 +420,28 @@ def shingle_sets(rows: DataFrame, words: int) -> DataFrame:
     return rows.select("node", "text").mapInArrow(kernel, "node long, shingles array<int>")
 
 
+def radius_for(similarity: float) -> int:
+    """Bits within which fingerprints of shingle sets of this similarity lie, but for a tail of about 3.5 standard deviations; 20 at 0.8."""
+    differ = math.acos(2 * similarity / (1 + similarity)) / math.pi
+    return math.ceil(64 * differ + 3.5 * math.sqrt(64 * differ * (1 - differ)))
+
+
 def similar_classes(df: DataFrame, similarity: float = 0.8, words: int = 5) -> DataFrame:
     """doc_id, _digest and ``root`` of each row of ``df`` (doc_id, text, _digest): groups of texts alike in word shingles.
 
     Two texts link if the Jaccard similarity of their shingle sets is at least
     ``similarity``. Candidates come from tiled comparison of two independent
-    fingerprints within ``64 * (1 - similarity)`` bits, two more for the second.
+    fingerprints, both within ``radius_for(similarity)`` bits.
     All candidates are verified on the whole texts, by matrix products over the
     shingles that the texts of a cell share; of the links a forest is kept.
     Texts with equal shingle sets are one node; texts without words are one group.
     """
-    radius = int(64 * (1 - similarity))
+    radius = radius_for(similarity)
     docs = written(with_simhash(df, words, carry=("doc_id", "_digest"), marks=True), "fingerprints")
     rep = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "_digest", "fp", "fp2", "size")).alias("rep")
     nodes = written(docs.groupBy("node").agg(rep).select("node", "rep.fp", "rep.fp2", "rep.doc_id", "rep._digest", "rep.size"), "nodes")
     texts = df.select("doc_id", "_digest", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    cells = written(near_candidates(nodes.select("node", "fp", "fp2", "size"), radius, radius + 2, similarity), "cells")
+    cells = written(near_candidates(nodes.select("node", "fp", "fp2", "size"), radius, similarity), "cells")
     asked = written(cells.select("cell", F.explode(F.array_distinct(F.concat("left", "right"))).alias("node")), "asked")
     wanted = asked.select("node").distinct().join(nodes, "node").select("node", F.col("doc_id").alias("_i"), F.col("_digest").alias("_t"))
     held = texts.join(wanted, F.col("doc_id").eqNullSafe(F.col("_i")) & (F.col("_digest") == F.col("_t")))

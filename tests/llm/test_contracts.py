@@ -417,3 +417,19 @@ def test_repeated_line_is_no_near_duplicate(spark):
     """Texts that share one line, repeated until it decides both fingerprints, stay."""
     texts = ["one line of nine words said again and again " * 100 + " ".join(f"u{k}x{i}" for i in range(300)) for k in range(6)]
     assert len(set(brute_groups(texts))) == 6 and kept_ids(spark, texts) == list(range(6))
+
+
+def edited_pairs(rng, count, words, edits):
+    """Pairs of texts that differ in single words far from each other."""
+    texts = []
+    for k in range(count):
+        base = [f"p{k}w{i}" for i in range(words)]
+        cuts = rng.sample(range(6, words - 6, 6), edits)
+        texts += [" ".join(base), " ".join(f"e{k}" if i in cuts else w for i, w in enumerate(base))]
+    return texts
+
+
+def test_pairs_at_the_edge_of_the_similarity(spark):
+    """Pairs at J of 0.80 to 0.82, each with one partner, all lose one text."""
+    texts = edited_pairs(random.Random(3), 60, 300, 6)
+    assert len(set(brute_groups(texts))) == 60 and kept_ids(spark, texts) == list(range(0, 120, 2))
