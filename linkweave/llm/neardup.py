@@ -57,7 +57,7 @@ def remixed(hashes: np.ndarray) -> np.ndarray:
 
 
 def fingerprints_of(body: np.ndarray, offsets: np.ndarray, words: int, marks: bool = False) -> tuple[np.ndarray, ...]:
-    """Fingerprints of texts that lie end to end; with ``marks`` also those of their remixed hashes, and the sizes and digests of their shingle sets."""
+    """Fingerprints of texts that lie end to end; with ``marks`` of their shingle sets, also those of the remixed hashes, the sizes and the digests."""
     n = len(offsets) - 1
     out, out2, sizes, digests = (np.zeros(n, np.uint64) for _ in range(4))
     held, rows, size = [], [], 0
@@ -75,9 +75,9 @@ def fingerprints_of(body: np.ndarray, offsets: np.ndarray, words: int, marks: bo
     for i in range(n):
         hashes = shingle_hashes(body[offsets[i] : offsets[i + 1]].tobytes(), words)
         if marks:
-            distinct = np.unique(hashes)
-            sizes[i] = len(np.unique(distinct.astype(np.uint32)))
-            digests[i] = xxhash.xxh64_intdigest(distinct.tobytes())
+            hashes = np.unique(hashes)
+            sizes[i] = len(np.unique(hashes.astype(np.uint32)))
+            digests[i] = xxhash.xxh64_intdigest(hashes.tobytes())
         if len(hashes):
             held.append(hashes)
             rows.append(i)
@@ -93,7 +93,7 @@ MARKS = ("fp", "fp2", "size", "node")
 
 
 def with_simhash(df: DataFrame, words: int = 4, text: str = "text", carry: tuple[str, ...] = ("doc_id",), marks: bool = False) -> DataFrame:
-    """The ``carry`` columns and ``fp``, the signed fingerprint of ``text``, with ``marks`` all of MARKS; null and empty texts have 0."""
+    """The ``carry`` columns and ``fp``, the signed fingerprint of ``text``, with ``marks`` all of MARKS, where a repeated shingle counts once; null and empty texts have 0."""
     source = df.select(*carry, F.col(text).cast("string").alias("_text"))
     fields = [*source.drop("_text").schema.fields]
     names = MARKS if marks else MARKS[:1]

@@ -433,3 +433,10 @@ def test_pairs_at_the_edge_of_the_similarity(spark):
     """Pairs at J of 0.80 to 0.82, each with one partner, all lose one text."""
     texts = edited_pairs(random.Random(3), 60, 300, 6)
     assert len(set(brute_groups(texts))) == 60 and kept_ids(spark, texts) == list(range(0, 120, 2))
+
+
+def test_near_copies_with_other_repeats(spark):
+    """Near copies that repeat a line 2 and 40 times are near duplicates."""
+    line = " one line of nine words said again and again"
+    texts = [t + line * (2 if i % 2 else 40) for i, t in enumerate(edited_pairs(random.Random(4), 20, 300, 1))]
+    assert len(set(brute_groups(texts))) == 20 and kept_ids(spark, texts) == list(range(0, 40, 2))
