@@ -115,34 +115,45 @@ def dense_top_k(queries: DataFrame, pool: DataFrame, top_k: int = 25, least: flo
     return top_per(found, ["s1_id"], [F.desc(F.round("similarity", 9)), F.col("cand_id")], top_k)
 
 
-def latent_vectors(rows: DataFrame, fit_on: DataFrame, dimensions: int = 128, **options) -> DataFrame:
-    """(id, part, vector): rows of TF-IDF weights projected on the right singular vectors of ``fit_on``'s matrix.
+LATENT = {"sublinear": False, "max_df": 0.35, "most": 120_000, "by_word": True}
 
-    The factors are found by a distributed computation; they are a local
+
+def latent_factors(fit_on: DataFrame, dimensions: int = 128, **options) -> DataFrame:
+    """(part, gram, f): the right singular vectors of the TF-IDF matrix of each part of ``fit_on``.
+
+    Parts are decomposed one after another, each by a distributed computation; its factors are a local
     matrix of vocabulary times dimensions, bounded by ``most`` grams.
-    Signs and rotations of the factors are free, cosines are not.
     """
     from pyspark.mllib.linalg import Vectors
     from pyspark.mllib.linalg.distributed import RowMatrix
 
-    settings = {"sublinear": False, "max_df": 0.35, "most": 120_000, "by_word": True} | options
-    base = written(tfidf(fit_on, fit_on, **settings), "grams")
-    grams = base.select("part", "gram").distinct()
-    vocabulary = [(r["part"], r["gram"]) for r in grams.orderBy("part", "gram").collect()]
-    spark = rows.sparkSession
-    if not vocabulary:
-        return spark.createDataFrame([], T.StructType([*rows.select("id", "part").schema.fields, T.StructField("vector", T.ArrayType(T.DoubleType()))]))
-    numbered = spark.createDataFrame([(p, g, i) for i, (p, g) in enumerate(vocabulary)], "part string, gram string, n int")
-    vectors = base.join(numbered, ["part", "gram"]).groupBy("id").agg(F.array_sort(F.collect_list(F.struct("n", "weight"))).alias("v"))
-    width = len(vocabulary)
-    # Each step of the decomposition multiplies by these rows, so they stay in memory.
-    sparse = vectors.select("v").rdd.map(lambda r: Vectors.sparse(width, [(x["n"], x["weight"]) for x in r["v"]])).persist()
-    matrix = RowMatrix(sparse)
-    k = max(1, min(dimensions, width - 1, matrix.numRows()))
-    factors = matrix.computeSVD(k).V.toArray()
-    sparse.unpersist()
-    loadings = spark.createDataFrame([(i, row.tolist()) for i, row in enumerate(factors)], "n int, f array<double>")
-    own = tfidf(rows, fit_on, **settings).join(numbered, ["part", "gram"]).join(loadings, "n")
+    spark = fit_on.sparkSession
+    kind = fit_on.schema["part"].dataType.simpleString()
+    base = written(tfidf(fit_on, fit_on, **LATENT | options), "grams")
+    loadings = spark.createDataFrame([], f"part {kind}, gram string, f array<double>")
+    for part in [r["part"] for r in base.select("part").distinct().orderBy("part").collect()]:
+        own = base.where(F.col("part") == F.lit(part))
+        vocabulary = [r["gram"] for r in own.select("gram").distinct().orderBy("gram").collect()]
+        numbered = spark.createDataFrame(list(zip(vocabulary, range(len(vocabulary)), strict=True)), "gram string, n int")
+        vectors = own.join(numbered, "gram").groupBy("id").agg(F.array_sort(F.collect_list(F.struct("n", "weight"))).alias("v"))
+        width = len(vocabulary)
+        # Each step of the decomposition multiplies by these rows, so they stay in memory.
+        sparse = vectors.select("v").rdd.map(lambda r, width=width: Vectors.sparse(width, [(x["n"], x["weight"]) for x in r["v"]])).persist()
+        matrix = RowMatrix(sparse)
+        k = max(1, min(dimensions, width - 1, matrix.numRows()))
+        factors = matrix.computeSVD(k).V.toArray()
+        sparse.unpersist()
+        rows = [(part, gram, row) for gram, row in zip(vocabulary, factors.tolist(), strict=True)]
+        loadings = loadings.unionByName(written(spark.createDataFrame(rows, loadings.schema), "factors"))
+    return loadings
+
+
+def latent_vectors(rows: DataFrame, fit_on: DataFrame, factors: DataFrame, **options) -> DataFrame:
+    """(id, part, vector): rows of TF-IDF weights projected on ``factors``, those of ``fit_on``.
+
+    Signs and rotations of the factors are free, cosines of vectors of one call of ``latent_factors`` are not.
+    """
+    own = tfidf(rows, fit_on, **LATENT | options).join(factors, ["part", "gram"])
     terms = own.select("id", "part", F.posexplode(F.transform("f", lambda x: x * F.col("weight"))).alias("d", "x"))
     summed = terms.groupBy("id", "part", "d").agg(F.sum("x").alias("x"))
     return summed.groupBy("id", "part").agg(F.transform(F.array_sort(F.collect_list(F.struct("d", "x"))), lambda s: s["x"]).alias("vector"))
@@ -150,7 +161,8 @@ def latent_vectors(rows: DataFrame, fit_on: DataFrame, dimensions: int = 128, **
 
 def latent_top_k(s1: DataFrame, cands: DataFrame, top_k: int = 25, least: float = 0.20, dimensions: int = 128, **options) -> DataFrame:
     """Nearest neighbours in the latent space, exactly, within a part."""
-    return dense_top_k(latent_vectors(s1, cands, dimensions, **options), latent_vectors(cands, cands, dimensions, **options), top_k, least)
+    factors = latent_factors(cands, dimensions, **options)
+    return dense_top_k(latent_vectors(s1, cands, factors, **options), latent_vectors(cands, cands, factors, **options), top_k, least)
 
 
 def encoded(df: DataFrame, encode, text: str = "text", out: str = "vector") -> DataFrame:

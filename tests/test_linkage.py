@@ -3,6 +3,7 @@
 import random
 from collections import Counter
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -182,3 +183,26 @@ def test_model_round_trip(spark, tmp_path):
     assert meta["threshold"] == 0.5
     got = model.score(again, df, ["f"]).collect()
     assert sum((r["p"] > 0.5) == (r["target"] == 1) for r in got) > 190
+
+
+def test_latent_top_k_decomposes_each_part(spark):
+    """Against numpy: each part has factors of its own, and S1 and pool are projected on the same ones."""
+    rng = random.Random(2)
+    name = lambda: " ".join("".join(rng.choice("abcdef") for _ in range(5)) for _ in range(2))
+    pool = [(f"p{c}{i}", c, name()) for c in "xy" for i in range(20)]
+    s1 = [(f"s{c}{i}", c, t[:-1] + "a") for i, (_, c, t) in enumerate(pool[::5])]
+    frame = lambda rows: spark.createDataFrame(rows, "id string, part string, text string")
+    got = {(r["s1_id"], r["cand_id"]): r["similarity"] for r in vectors.latent_top_k(frame(s1), frame(pool), top_k=50, least=-1.0, dimensions=4).collect()}
+    weights = [(r["id"], r["gram"], r["weight"]) for r in vectors.tfidf(frame(s1 + pool), frame(pool), **vectors.LATENT).collect()]
+    want = {}
+    for c in "xy":
+        own, asked = [r for r in pool if r[1] == c], [r for r in s1 if r[1] == c]
+        both = [r for r in weights if r[0] in {x[0] for x in asked + own}]
+        grams, ids = sorted({g for _, g, _ in both}), [r[0] for r in asked + own]
+        m = np.zeros((len(ids), len(grams)))
+        for i, g, w in both:
+            m[ids.index(i), grams.index(g)] = w
+        z = m @ np.linalg.svd(m[len(asked) :])[2][:4].T
+        z /= np.linalg.norm(z, axis=1)[:, None]
+        want |= {(a, b): z[ids.index(a)] @ z[ids.index(b)] for a, *_ in asked for b, *_ in own}
+    assert got.keys() == want.keys() and all(abs(got[k] - want[k]) < 1e-6 for k in want)
