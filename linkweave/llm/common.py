@@ -24,6 +24,18 @@ def partitions(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
+def spread_join(rows: DataFrame, right: DataFrame, key: str, by: tuple[str, ...], salts: int, how: str = "left") -> DataFrame:
+    """``rows`` joined by ``key`` with ``right``, which has one row for each key, so that the rows of a frequent key are dealt to many tasks.
+
+    Rows have a salt, a hash of their columns ``by``. The pairs of key and salt
+    that occur, at most ``salts`` for a key, meet ``right`` first, and the rows
+    then meet those pairs. ``rows`` is read twice.
+    """
+    salted = rows.withColumn("_salt", F.pmod(F.xxhash64(*by), F.lit(salts)))
+    pairs = salted.select(key, "_salt").distinct().join(right, key)
+    return salted.join(pairs, [key, "_salt"], how).drop("_salt")
+
+
 def slices(batch: pa.RecordBatch, column: str, most: int = BATCH_BYTES) -> Iterator[pa.RecordBatch]:
     """The batch in runs of rows whose ``column`` holds about ``most`` bytes; a longer value is a run of its own."""
     n = batch.num_rows
@@ -62,4 +74,4 @@ def hex64(values: np.ndarray) -> list[str]:
     return [f"{v:016x}" for v in values.tolist()]
 
 
-__all__ = ["A_Z", "BLANK_WORD", "hex64", "lowered", "partitions", "raw_texts", "slices", "written"]
+__all__ = ["A_Z", "BLANK_WORD", "hex64", "lowered", "partitions", "raw_texts", "slices", "spread_join", "written"]

@@ -8,8 +8,9 @@ distances, so the strings that an anchor stands for can only repeat at the
 same anchor's other places. Anchors, told apart by the ``key`` bytes from the
 anchor on, that occur once are done with. For the others the bytes around each place
 are gathered by anchor, and there a suffix array (prefix doubling) puts
-the strings in order: in it the previous smaller position gives the earlier
-match of a string and the next smaller one that of ties broken by position.
+the strings in order. In it the previous and the next smaller position of each
+string give its longest previous factor; where that has ``length`` bytes or
+more, the string repeats an earlier one.
 
 Texts that are equal as a whole take part once.
 """
@@ -24,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from linkweave.llm.common import partitions, raw_texts, slices, written
+from linkweave.llm.common import partitions, raw_texts, slices, spread_join, written
 
 GRAM = 8
 #: Bytes from an anchor on that tell anchors apart.
@@ -83,10 +84,6 @@ def anchors(body: np.ndarray, offsets: np.ndarray, length: int, key: int = KEY)
     return rows[np.lexsort((rows[:, 1], rows[:, 0]))]
 
 
-def anchor_keys(raw: bytes, places: list[int], key: int) -> list[int]:
-    return [xxhash.xxh3_64_intdigest(raw[p : p + key]) for p in places]
-
-
 def suffix_order(body: np.ndarray, cell: np.ndarray, length: int) -> np.ndarray:
     """For each position the class of its ``length``-byte string, equal for equal strings of the same cell, in suffix order.
 
@@ -122,19 +119,50 @@ def digest_order(body: np.ndarray, starts: np.ndarray, cell: np.ndarray, length:
     return rank
 
 
-def previous_factor(rank: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """For each of ``starts``, ascending positions: the previous smaller and the next larger start with the same string, -1 if none.
+def longest_factors(places: np.ndarray, common: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
+    """Lengths of the longest previous factors of suffixes, and the place of such an earlier match; 0 and -1 where under ``least``.
 
-    Ties of the suffix order stand by position, so in the run of one class the
-    nearest smaller position is the entry before: that is where a longest
-    previous factor of full length lies, and the entry after is its mirror.
+    ``places`` are positions in suffix order, ``common[i]`` how long a prefix
+    entry i shares with the entry before it. A longest previous factor lies at
+    the previous or the next smaller position in suffix order, and is as long
+    as the least of ``common`` on the way there. Both are found for all
+    suffixes at once: each looks at its neighbour's own nearest smaller
+    position while it stands on a larger one, and stops when the way has
+    fallen below ``least``.
+    """
+    n = len(places)
+    longest, match = np.zeros(n, np.int64), np.full(n, -1, np.int64)
+    for step in (-1, 1):
+        at = np.arange(n) + step
+        way = common.astype(np.int64) if step < 0 else np.append(common[1:], 0).astype(np.int64)
+        way[0 if step < 0 else n - 1 :][:1] = 0
+        live = np.flatnonzero(way >= least)
+        while len(live):
+            on = at[live]
+            found = live[places[on] < places[live]]
+            better = found[way[found] > longest[found]]
+            longest[better], match[better] = way[better], places[at[better]]
+            live = live[places[on] >= places[live]]
+            on = at[live]
+            way[live], at[live] = np.minimum(way[live], way[on]), at[on]
+            live = live[way[live] >= least]
+    return longest, match
+
+
+def repeated_starts(rank: np.ndarray, starts: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
+    """Of ``starts``, ascending positions, whether the string there also starts earlier, and whether it starts later.
+
+    Suffixes are ordered by their first ``length`` bytes (``rank``), then by
+    position, so common prefixes count as ``length`` or as less; the factors of
+    the mirrored positions are those that come later.
     """
     order = np.lexsort((starts, rank[starts]))
     same = rank[starts[order]][1:] == rank[starts[order]][:-1]
-    before, after = np.full(len(starts), -1), np.full(len(starts), -1)
-    before[order[1:][same]] = starts[order[:-1][same]]
-    after[order[:-1][same]] = starts[order[1:][same]]
-    return before, after
+    common = np.concatenate([[0], np.where(same, length, 0)])[: len(starts)]
+    earlier, later = np.zeros(len(starts), bool), np.zeros(len(starts), bool)
+    earlier[order] = longest_factors(starts[order], common, length)[0] >= length
+    later[order] = longest_factors(-starts[order], common, length)[0] >= length
+    return earlier, later
 
 
 def _runs(starts: np.ndarray, length: int) -> list[tuple[int, int]]:
@@ -263,10 +291,10 @@ def _sorted_cells(places: DataFrame, length: int, keep_first: bool, parts: int)
         n_strings = np.array([same[0][3] for same in owners])
         starts = np.concatenate([np.arange(a, a + n) for a, n in zip(at, n_strings.tolist(), strict=True)])
         rank = suffix_order(body, cell, length) if len(body) <= 2 * KERNEL_BYTES else digest_order(body, starts, cell, length)
-        before, after = previous_factor(rank, starts)
+        before, after = repeated_starts(rank, starts, length)
         edge = np.concatenate([[0], np.cumsum(n_strings)])
         for i, same in enumerate(owners):
-            earlier, later = before[edge[i] : edge[i + 1]] >= 0, after[edge[i] : edge[i + 1]] >= 0
+            earlier, later = before[edge[i] : edge[i + 1]], after[edge[i] : edge[i + 1]]
             for j, (text, first, _, n, _) in enumerate(same):
                 if keep_first:
                     hit = earlier | (j > 0)
@@ -315,10 +343,14 @@ def _by_digest(places: DataFrame, length: int, keep_first: bool) -> DataFrame:
                     at.extend(range(first, first + strings))
                 yield pa.RecordBatch.from_arrays([pa.array(texts, pa.string()), pa.array(at, pa.int32()), pa.array(names, pa.binary())], names=["text_key", "at", "name"])
 
-    strings = written(places.select("text_key", "first", "around", "strings").mapInArrow(digests, "text_key string, at int, name binary").distinct(), "digests")
+    once = places.dropDuplicates(["text_key", "first"])  # a text's copies may be there twice
+    strings = written(once.select("text_key", "first", "around", "strings").mapInArrow(digests, "text_key string, at int, name binary"), "digests")
+    # A string may be as frequent as there are documents: its places are counted by a salt, and meet the sums by salt.
+    salted = strings.withColumn("salt", F.pmod(F.xxhash64("text_key", "at"), F.lit(partitions(places))))
     first = F.min(F.struct("text_key", "at")).alias("first")
-    repeated = strings.groupBy("name").agg(F.count("*").alias("n"), first).where("n > 1")
-    hit = strings.join(repeated, "name")
+    parts = written(salted.groupBy("name", "salt").agg(F.count("*").alias("n"), first), "digest-counts")
+    repeated = parts.groupBy("name").agg(F.sum("n").alias("n"), F.min("first").alias("first")).where("n > 1").drop("n")
+    hit = salted.join(parts.select("name", "salt").join(repeated, "name"), ["name", "salt"])
     if keep_first:
         hit = hit.where((F.col("text_key") != F.col("first.text_key")) | (F.col("at") != F.col("first.at")))
     return hit.select("text_key", F.col("at").alias("lo"), (F.col("at") + length).alias("hi"))
@@ -330,7 +362,7 @@ def removed(documents: DataFrame, length: int = 400, keep_first: bool = False) -
     A byte goes if a string of ``length`` bytes that covers it also starts
     anywhere else (with ``keep_first``: earlier, by text and position). Null
     texts are empty. Of rows with equal texts of ``length`` bytes or more all
-    bytes go; shorter texts stay whole.
+    bytes go; shorter texts stay whole. Empty tables give no rows.
     """
     rows, copies, runs = repeated_runs(documents, length, keep_first)
     alone = copies.where("n_rows = 1" if not keep_first else "true").join(runs, "text_key").select(F.col("text_key").alias("t"), F.col("rep").alias("r"), "runs")
@@ -361,10 +393,11 @@ def removed(documents: DataFrame, length: int = 400, keep_first: bool = False) -
     parts = held.mapInArrow(kernel, "t string, cut long, spans long, kept string").dropDuplicates(["t"])
     many = copies.select(F.col("text_key").alias("m"), (F.col("n_rows") > 1).alias("many"))
     whole = F.col("many") & (F.col("n_bytes") >= length)
-    joined = rows.join(many, F.col("text_key") == F.col("m")).join(parts, F.col("text_key") == F.col("t"), "left")
+    found = many.join(parts, F.col("m") == F.col("t"), "left").select(F.col("m").alias("text_key"), "many", "cut", "spans", "kept")
+    joined = spread_join(rows, found, "text_key", ("doc_id",), partitions(documents))
     if keep_first:
-        keeper = rows.groupBy("text_key").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id")).alias("k")).select(F.col("text_key").alias("kk"), F.col("k.doc_id").alias("keeper"))
-        joined = joined.join(keeper, F.col("text_key") == F.col("kk"))
+        keeper = rows.groupBy("text_key").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id")).alias("k")).select("text_key", F.col("k.doc_id").alias("keeper"))
+        joined = spread_join(joined, keeper, "text_key", ("doc_id",), partitions(documents))
         whole = whole & ~F.col("doc_id").eqNullSafe(F.col("keeper"))
     empty = F.sha2(F.lit(""), 256)
     return joined.select(

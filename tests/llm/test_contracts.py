@@ -302,6 +302,23 @@ def test_repeats(docs, rows, most, kernel, monkeypatch):
     assert any(0 < r["n_removed"] < r["n_bytes"] for r in got)
 
 
+@pytest.mark.parametrize("letters", ["ab", "abcdefgh", "a"])
+def test_longest_factors(letters):
+    """Against the definition: the longest string at a place that also starts earlier."""
+    rng = random.Random(9)
+    for size in (1, 2, 7, 60, 200):
+        text = "".join(rng.choice(letters) for _ in range(size))
+        order = sorted(range(size), key=lambda i: text[i:])
+        shared = lambda a, b: next((k for k in range(size) if max(a, b) + k >= size or text[a + k] != text[b + k]), size)
+        common = np.array([0] + [shared(order[i - 1], order[i]) for i in range(1, size)])
+        for least in (1, 3):
+            longest, match = repeats.longest_factors(np.array(order), common, least)
+            for place, long, at in zip(order, longest.tolist(), match.tolist(), strict=True):
+                want = max((shared(j, place) for j in range(place)), default=0)
+                assert long == (want if want >= least else 0)
+                assert at == -1 if not long else at < place and shared(at, place) == long
+
+
 @pytest.mark.parametrize("most", [4000, 3])
 def test_repeats_keep_first(spark, most, monkeypatch):
     monkeypatch.setattr(repeats, "MOST_PLACES", most)
