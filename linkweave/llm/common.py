@@ -24,6 +24,12 @@ def partitions(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
+def numbered(df: DataFrame) -> tuple[DataFrame, dict[str, str], list[Column]]:
+    """``df`` with columns c0, c1, ..., so that no name of a caller's clashes with one made here; the new names by the old ones; and the columns that restore ``df``."""
+    names = {c: f"c{i}" for i, c in enumerate(df.columns)}
+    return df.select(*[F.col(f"`{c}`").alias(n) for c, n in names.items()]), names, [F.col(f"`{n}`").alias(c) for c, n in names.items()]
+
+
 def spread_join(rows: DataFrame, right: DataFrame, key: str, by: tuple[str, ...], salts: int, how: str = "left") -> DataFrame:
     """``rows`` joined by ``key`` with ``right``, which has one row for each key, so that the rows of a frequent key are dealt to many tasks.
 
@@ -74,4 +80,4 @@ def hex64(values: np.ndarray) -> list[str]:
     return [f"{v:016x}" for v in values.tolist()]
 
 
-__all__ = ["A_Z", "BLANK_WORD", "hex64", "lowered", "partitions", "raw_texts", "slices", "spread_join", "written"]
+__all__ = ["A_Z", "BLANK_WORD", "hex64", "lowered", "numbered", "partitions", "raw_texts", "slices", "spread_join", "written"]

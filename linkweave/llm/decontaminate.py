@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from linkweave.llm.common import raw_texts, slices, written
+from linkweave.llm.common import numbered, raw_texts, slices, written
 
 #: Bits of the probe table: 2 MB whatever the benchmark's size.
 PROBE_BITS = 24
@@ -199,7 +199,14 @@ def contamination(documents: DataFrame, benchmark: DataFrame, window: int = 10,
 
 
 def decontaminated(documents: DataFrame, benchmark: DataFrame, window: int = 10, shingle: int = 3) -> DataFrame:
-    """The rows of ``documents`` that hold no benchmark window."""
-    hit = contamination(documents, benchmark, window, shingle).where("n_hit > 0").select(F.col("doc_id").alias("_i"), F.col("text_key").alias("_t"))
-    rows = documents.withColumn("_key", text_key())
-    return rows.join(hit, F.col("doc_id").cast("long").eqNullSafe(F.col("_i")) & (F.col("_key") == F.col("_t")), "left_anti").drop("_key")
+    """The rows of ``documents`` that hold no benchmark window, all columns as they were, whatever their names.
+
+    Null and empty texts hold none and stay, as does everything if the
+    benchmark is empty; an empty table gives no rows.
+    """
+    whole, names, restored = numbered(documents)
+    doc_id, text = F.col(names["doc_id"]).cast("long"), F.col(names["text"])
+    found = contamination(whole.select(doc_id.alias("doc_id"), text.alias("text")), benchmark, window, shingle)
+    hit = found.where("n_hit > 0").select(F.col("doc_id").alias("_i"), F.col("text_key").alias("_t"))
+    rows = whole.withColumn("_key", text_key(names["text"]))
+    return rows.join(hit, doc_id.eqNullSafe(F.col("_i")) & (F.col("_key") == F.col("_t")), "left_anti").select(*restored)

@@ -54,23 +54,25 @@ def copies(rate: Column, *keys: Column, seed: int = 42) -> Column:
 
 
 def mixture(df: DataFrame, most: float = 3.0, seed: int = 42) -> DataFrame:
-    """``df`` (doc_id, text, source and any others) with _size, _source_size, _target and _copies.
+    """``row``, a struct of all columns of ``df`` (doc_id, text, source and any others), with size, source_size, target and copies.
 
-    ``_copies`` is how often the mix holds the row: the whole part of its
+    ``copies`` is how often the mix holds the row: the whole part of its
     source's rate, and one more by a draw that doc_id, text digest and seed
     decide, so reruns agree and repeated rows are drawn alike. Null and empty
-    texts have size 0 and are drawn as any other row.
+    texts have size 0 and are drawn as any other row. An empty table gives no
+    rows.
     """
-    digest = F.md5(F.coalesce(F.col("text").cast("string"), F.lit("")))
-    sized = df.withColumns({"_size": word_count(), "_source": F.col("source").cast("string")})
-    targets = written(source_targets(sized.select(F.col("_source").alias("source"), F.col("_size").alias("size")), most), "targets")
-    right = targets.select(F.col("source").alias("_s"), F.col("source_size").alias("_source_size"), F.col("target").alias("_target"), F.col("rate").alias("_rate"))
+    rows = df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row"))
+    digest = F.md5(F.coalesce(F.col("row.text").cast("string"), F.lit("")))
+    sized = rows.withColumns({"size": word_count("row.text"), "source": F.col("row.source").cast("string")})
+    targets = written(source_targets(sized.select("source", "size"), most), "targets")
+    right = targets.withColumnRenamed("source", "s")
     right = F.broadcast(right) if targets.count() <= MOST_BROADCAST else right
-    joined = sized.join(right, F.col("_source").eqNullSafe(F.col("_s")), "left")
-    return joined.withColumn("_copies", copies(F.col("_rate"), F.col("doc_id"), digest, seed=seed)).drop("_s", "_source", "_rate")
+    joined = sized.join(right, F.col("source").eqNullSafe(F.col("s")), "left")
+    return joined.withColumn("copies", copies(F.col("rate"), F.col("row.doc_id"), digest, seed=seed)).drop("s", "source", "rate")
 
 
 def mixed(df: DataFrame, most: float = 3.0, seed: int = 42) -> DataFrame:
-    """The mix itself: each row of ``df`` as often as ``mixture`` says."""
-    whole = mixture(df, most, seed).where("_copies > 0")
-    return whole.withColumn("_copy", F.explode(F.expr("sequence(1L, _copies)"))).select(*df.columns)
+    """The mix itself: each row of ``df`` as often as ``mixture`` says, with the columns of ``df``, whatever their names."""
+    whole = mixture(df, most, seed).where("copies > 0")
+    return whole.select("row", F.explode(F.expr("sequence(1L, copies)")).alias("copy")).select("row.*")

@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from linkweave.llm.common import partitions, raw_texts, slices, written
+from linkweave.llm.common import numbered, partitions, raw_texts, slices, spread_join, written
 from linkweave.llm.components import components
 
 #: Leading bits that, with the population count, name a cell of the histogram tiles are cut from.
@@ -232,7 +232,8 @@ def near_duplicate_classes(df: DataFrame, radius: int = 4, words: int = 4, carry
     ``component_id`` is the smallest doc_id reachable over links of at most
     ``radius`` differing bits; rows without a doc_id take part, and a component
     of such rows only has none. Texts without words have fingerprint 0 and
-    link as any other. Repeated rows share a component.
+    link as any other. Repeated rows share a component. An empty table gives
+    no rows. Columns that aren't carried don't matter.
     """
     docs = written(with_simhash(df, words, carry=carry), "simhash")
     unique = written(docs.groupBy("fp").agg(F.min("doc_id").alias("id")), "simhash-unique")
@@ -240,7 +241,8 @@ def near_duplicate_classes(df: DataFrame, radius: int = 4, words: int = 4, carry
     named = unique.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     named = written(named, "simhash-roots")
     smallest = named.groupBy("root").agg(F.min("id").alias("component_id"))
-    return docs.join(named.join(smallest, "root").select("fp", "root", "component_id"), "fp", "left")
+    found = named.join(smallest, "root").select("fp", "root", "component_id")
+    return spread_join(docs, found, "fp", ("doc_id",), partitions(df))
 
 
 #: Of a cell: texts on a side, and distinct shingles on a side beyond one text's.
@@ -459,17 +461,21 @@ def similar_classes(df: DataFrame, similarity: float = 0.8, words: int = 5) -> D
 def keep_one(df: DataFrame, similarity: float = 0.8, words: int = 5) -> DataFrame:
     """The rows of ``df`` (doc_id, text and any others) of which each group of near duplicates keeps one.
 
-    Groups are those of ``similar_classes``. Kept is the smallest doc_id (null
-    last), of several such rows the one whose text has the smallest digest; of
-    rows alike in both, one.
+    Groups are those of ``similar_classes``; null texts are empty, and texts
+    without words are one group. Kept is the smallest doc_id (null last), of
+    several such rows the one whose text has the smallest digest; of rows alike
+    in both, one. All columns are kept as they were, whatever their names. An
+    empty table gives no rows.
     """
-    keyed = df.withColumn("_digest", F.md5(F.coalesce(F.col("text").cast("string"), F.lit(""))))
-    classes = similar_classes(keyed, similarity, words)
+    whole, names, restored = numbered(df)
+    doc_id, text = F.col(names["doc_id"]), F.coalesce(F.col(names["text"]).cast("string"), F.lit(""))
+    keyed = whole.withColumn("_digest", F.md5(text))
+    classes = similar_classes(keyed.select(doc_id.alias("doc_id"), text.alias("text"), "_digest"), similarity, words)
     chosen = classes.groupBy("root", "doc_id", "_digest").count().groupBy("root").agg(
         F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "_digest", "count")).alias("x")
     ).select("x.doc_id", "x._digest", "x.count")
     chosen = written(chosen, "kept").alias("c")
-    kept = keyed.alias("d").join(chosen, F.col("d.doc_id").eqNullSafe(F.col("c.doc_id")) & (F.col("d._digest") == F.col("c._digest")), "left_semi")
+    kept = keyed.alias("d").join(chosen, F.col(f"d.{names['doc_id']}").eqNullSafe(F.col("c.doc_id")) & (F.col("d._digest") == F.col("c._digest")), "left_semi")
     if not chosen.where("count > 1").isEmpty():  # repeated rows
-        kept = kept.dropDuplicates(["doc_id", "_digest"])
-    return kept.drop("_digest")
+        kept = kept.dropDuplicates([names["doc_id"], "_digest"])
+    return kept.select(*restored)

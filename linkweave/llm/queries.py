@@ -40,15 +40,12 @@ def op5_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = sharding.narrow(_table(spark, sf_dir, "documents"))
-    return sharding.sharded(rows, shards=8).withColumns({"law": F.lit("rows"), "grown_shard": F.lit(None).cast("int")})
+    return sharding.sharded(rows, shards=8, checksum="text_crc32").withColumns({"law": F.lit("rows"), "grown_shard": F.lit(None).cast("int")})
 
 
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = mixing.mixture(_table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
-    return rows.select(
-        "doc_id", F.col("_size").alias("size"), F.col("_source_size").alias("source_size"), F.col("_target").alias("target"),
-        (F.col("_copies") * F.col("_size")).alias("taken"), F.col("_copies").alias("copies"),
-    )
+    return rows.select("row.doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"), "copies")
 
 
 def op8_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:

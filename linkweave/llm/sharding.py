@@ -16,7 +16,7 @@ import random
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from linkweave.llm.common import written
+from linkweave.llm.common import numbered, written
 
 #: Rows that a block or a piece of a shard aims at; both are sorted in one task, with spill.
 BLOCK_ROWS = 4_000
@@ -75,17 +75,24 @@ def _mixed_hash(salt: str, seed: int, *keys: Column) -> Column:
     return F.xxhash64(F.lit(f"{salt}:{seed}"), *keys)
 
 
-def sharded(df: DataFrame, shards: int = 8, seed: int = 42) -> DataFrame:
-    """``df`` (doc_id, text or text_crc32, and any others) with int ``shard`` and long ``slot``, gapless from 0 in each shard.
+def sharded(df: DataFrame, shards: int = 8, seed: int = 42, checksum: str | None = None) -> DataFrame:
+    """``df`` (doc_id, text or a ``checksum`` of it, and any others) with int ``shard`` and long ``slot``, gapless from 0 in each shard.
 
     Shard sizes differ by one row at most. A row's place depends on the whole
-    table, its doc_id, its text and the seed, so reruns agree; equal rows are
-    interchangeable. Null doc_ids and texts count as values of their own. Only
-    counts (blocks times shards, 4,096 blocks at most) come to the driver.
+    table, its doc_id, its text and the seed, and ties are broken by all other
+    columns (but maps), so reruns agree; equal rows are interchangeable. Null
+    doc_ids and texts count as values of their own; an empty table gives no
+    rows. Columns of ``df`` may have any names; its own ``shard`` and ``slot``
+    are replaced. Only counts (blocks times shards, 4,096 blocks at most) come
+    to the driver.
     """
-    text = F.col("text_crc32") if "text_crc32" in df.columns else F.crc32(F.coalesce(F.col("text").cast("string"), F.lit("")))
-    keys = [F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), text]
-    rows = df.withColumns({"_a": _mixed_hash("deal", seed, *keys), "_b": _mixed_hash("order", seed, *keys), "_k": text})
+    whole, names, restored = numbered(df)
+    restored = [c for c, n in zip(restored, names, strict=True) if n not in ("shard", "slot")]
+    doc_id = F.col(names["doc_id"])
+    text = F.col(names[checksum]) if checksum else F.crc32(F.coalesce(F.col(names["text"]).cast("string"), F.lit("")))
+    keys = [F.coalesce(doc_id.cast("string"), F.lit("null")), text]
+    others = F.xxhash64(*[F.col(n) for n, t in whole.dtypes if "map<" not in t])
+    rows = whole.withColumns({"_a": _mixed_hash("deal", seed, *keys), "_b": _mixed_hash("order", seed, *keys), "_k": text, "_o": others})
     total = df.count()
     blocks = max(1, min(MOST_BLOCKS, -(-total // BLOCK_ROWS)))
     rows = rows.withColumn("_block", F.pmod(_mixed_hash("block", seed, *keys), F.lit(blocks)).cast("int"))
@@ -103,7 +110,7 @@ def sharded(df: DataFrame, shards: int = 8, seed: int = 42) -> DataFrame:
         ends.append(sums)
     spark = df.sparkSession
     plan = F.broadcast(spark.createDataFrame(list(enumerate(ends)), "_p int, _ends array<long>"))
-    rank = F.row_number().over(Window.partitionBy("_block").orderBy("_a", "doc_id", "_k")).cast("long")
+    rank = F.row_number().over(Window.partitionBy("_block").orderBy("_a", doc_id, "_k", "_o")).cast("long")
     dealt = rows.withColumn("_rank", rank).join(plan, F.col("_block") == F.col("_p"))
     dealt = dealt.withColumn("shard", F.expr("CAST(size(filter(_ends, e -> e < _rank)) AS INT)")).drop("_rank", "_p", "_ends")
 
@@ -116,9 +123,9 @@ def sharded(df: DataFrame, shards: int = 8, seed: int = 42) -> DataFrame:
         starts.append((s, piece, run.get(s, 0)))
         run[s] = run.get(s, 0) + count
     begin = F.broadcast(spark.createDataFrame(starts, "_s int, _q int, _begin long"))
-    place = F.row_number().over(Window.partitionBy("shard", "_piece").orderBy("_b", "doc_id", "_k")).cast("long")
+    place = F.row_number().over(Window.partitionBy("shard", "_piece").orderBy("_b", doc_id, "_k", "_o")).cast("long")
     placed = dealt.withColumn("_place", place).join(begin, (F.col("shard") == F.col("_s")) & (F.col("_piece") == F.col("_q")))
-    return placed.withColumn("slot", F.col("_begin") + F.col("_place") - 1).select(*[c for c in df.columns if c not in ("shard", "slot")], "shard", "slot")
+    return placed.withColumn("slot", F.col("_begin") + F.col("_place") - 1).select(*restored, "shard", "slot")
 
 
 def narrow(documents: DataFrame) -> DataFrame:

@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from linkweave.llm.common import raw_texts, slices
+from linkweave.llm.common import numbered, raw_texts, slices
 from linkweave.llm.decontaminate import words_of
 
 #: Labelled rows that a fit uses at most: those whose doc_id has the smallest hashes.
@@ -217,10 +217,7 @@ def scored(documents: DataFrame, chain: Chain, carry: tuple[str, ...] = ("doc_id
 
 
 def clean(documents: DataFrame, chain: Chain) -> DataFrame:
-    """The rows of ``documents`` that the chain doesn't reject, all columns as they were."""
-    columns = documents.columns
-    whole = documents.withColumnsRenamed({c: f"c{i}" for i, c in enumerate(columns)})
-    position = {c: f"c{i}" for i, c in enumerate(columns)}
-    rows = whole.withColumn("text", F.col(position["text"]))
-    kept = scored(rows, chain, carry=tuple(position.values())).where("NOT rejected")
-    return kept.select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(columns)])
+    """The rows of ``documents`` that the chain doesn't reject, all columns as they were, whatever their names; an empty table gives no rows."""
+    whole, names, restored = numbered(documents)
+    kept = scored(whole.withColumn("text", F.col(names["text"])), chain, carry=tuple(names.values())).where("NOT rejected")
+    return kept.select(*restored)

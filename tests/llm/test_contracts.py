@@ -11,7 +11,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from linkweave.llm import decontaminate, fingerprints, mixing, neardup, queries, repeats, secrets, sharding, urlfilter
+from linkweave.llm import decontaminate, fingerprints, mixing, neardup, queries, repeats, secrets, sharding, toxicity, urlfilter
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, fp string, text_key string, slot int"
 
@@ -220,7 +220,7 @@ def test_url_rules(spark):
 
 
 def test_sharding(docs, rows):
-    placed = sharding.sharded(sharding.narrow(docs), 8).collect()
+    placed = sharding.sharded(sharding.narrow(docs), 8, checksum="text_crc32").collect()
     want = Counter((r[0], len((r[1] or "").encode()) + 1, zlib.crc32((r[1] or "").encode())) for r in rows)
     assert Counter((r["doc_id"], r["size"], r["text_crc32"]) for r in placed) == want
     slots = defaultdict(list)
@@ -229,7 +229,7 @@ def test_sharding(docs, rows):
     counts = [len(v) for v in slots.values()]
     assert max(counts) - min(counts) <= 1 and len(slots) == 8
     assert all(sorted(v) == list(range(len(v))) for v in slots.values())
-    again = sharding.sharded(sharding.narrow(docs.repartition(3)), 8).collect()
+    again = sharding.sharded(sharding.narrow(docs.repartition(3)), 8, checksum="text_crc32").collect()
     assert counted(placed) == counted(again)
 
 
@@ -275,12 +275,13 @@ def test_mixing(docs, rows):
             left -= target[s]
             free.discard(s)
     for r in got:
-        assert r["_size"] == size(r["text"]) and r["_source_size"] == total[r["source"]]
-        assert r["_target"] == pytest.approx(target[r["source"]])
-        rate = target[r["source"]] / total[r["source"]] if total[r["source"]] else 0
-        assert int(rate) <= r["_copies"] <= min(3, int(rate) + 1)
+        source = r["row"]["source"]
+        assert r["size"] == size(r["row"]["text"]) and r["source_size"] == total[source]
+        assert r["target"] == pytest.approx(target[source])
+        rate = target[source] / total[source] if total[source] else 0
+        assert int(rate) <= r["copies"] <= min(3, int(rate) + 1)
     mix = mixing.mixed(docs)
-    assert mix.columns == docs.columns and mix.count() == sum(r["_copies"] for r in got)
+    assert mix.columns == docs.columns and mix.count() == sum(r["copies"] for r in got)
 
 
 @pytest.mark.parametrize(("most", "kernel"), [(4000, 4 << 20), (3, 4 << 20), (4000, 500)])
@@ -384,6 +385,46 @@ def test_empty_tables(spark, docs):
     assert decontaminate.contamination(docs, bench).where("n_hit > 0").count() == 0
 
 
+CLASHING = "rejected p_toxic text_ _a _b _k _key _i _t _o _p _s _q _size _copies _source _target _rate _digest _text text_key fp fp2 size node root text_crc32 shard slot c0 c1 row copies target".split()
+
+
+def _clashing(docs):
+    """The documents with columns of the names that operators use themselves."""
+    return docs.drop("fp", "text_key", "slot").withColumns({c: F.concat_ws("-", F.lit(c), "doc_id") for c in CLASHING})
+
+
+OPERATORS = {
+    "keep_one": neardup.keep_one,
+    "decontaminated": lambda df: decontaminate.decontaminated(df, df.sparkSession.createDataFrame([(1, "no such words")], "item_id long, text string")),
+    "mixed": mixing.mixed,
+    "sharded": lambda df: sharding.sharded(df, 3),
+    "clean": lambda df: toxicity.clean(df, toxicity.fit_chain([], np.zeros((0, 2)))),
+}
+
+
+@pytest.mark.parametrize("name", OPERATORS)
+def test_clashing_columns(docs, name):
+    """Rows and the caller's columns come out as they do without those columns, and nulls and repeats with them."""
+    operator, wide = OPERATORS[name], _clashing(docs)
+    out = operator(wide)
+    assert [c for c in out.columns if c not in ("shard", "slot")] == [c for c in wide.columns if c not in ("shard", "slot")]
+    plain = operator(docs.select("doc_id", "text", "lang", "source", "n_chars"))
+    assert Counter(r["doc_id"] for r in out.select("doc_id").collect()) == Counter(r["doc_id"] for r in plain.select("doc_id").collect())
+    own = [c for c in CLASHING if c not in ("shard", "slot")]
+    for r in out.collect():
+        want = [c if r["doc_id"] is None else f"{c}-{r['doc_id']}" for c in own]
+        assert [r[c] for c in own] == want
+    if name == "sharded":
+        assert out.schema["slot"].dataType.simpleString() == "bigint" and counted(out.collect()) == counted(operator(wide.repartition(3)).collect())
+
+
+def test_reports_of_clashing_columns(docs):
+    """The reports read doc_id, text and source only."""
+    wide, plain = _clashing(docs), docs.select("doc_id", "text", "source")
+    for report in (fingerprints.fingerprint_report, secrets.secret_report, repeats.removed, neardup.near_duplicate_classes):
+        assert counted(report(wide).collect()) == counted(report(plain).collect())
+
+
 def test_near_duplicate_beyond_nearer_ones(spark, monkeypatch):
     """A text whose nearest candidates fail still gets its link: families of one template with a pair at J of about 0.82."""
     monkeypatch.setattr(neardup, "CELL_TEXTS", 5)
