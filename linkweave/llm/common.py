@@ -7,7 +7,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from linkweave.sources.scratch import written
@@ -42,6 +42,28 @@ def spread_join(rows: DataFrame, right: DataFrame, key: str, by: tuple[str, ...]
     return salted.join(pairs, [key, "_salt"], how).drop("_salt")
 
 
+def running_sums(df: DataFrame, order: list[Column], sums: dict[str, Column]) -> DataFrame:
+    """``df`` with sums over all rows before each one in ``order``, which has no ties; 0 for the first.
+
+    Rows are dealt into ranges of the order and summed there; of each range,
+    of which there are as many as shuffle partitions, its totals come to the
+    driver.
+    """
+    dealt = written(df.repartitionByRange(partitions(df), *order).withColumn("_range", F.spark_partition_id()), "ranges")
+    rows = dealt.groupBy("_range").agg(*[F.sum(c).alias(n) for n, c in sums.items()]).orderBy("_range").collect()
+    offsets, run = [], [0] * len(sums)
+    for r in rows:
+        offsets.append((r["_range"], *run))
+        run = [x + r[n] for x, n in zip(run, sums, strict=True)]
+    kinds = {n: dealt.groupBy().agg(F.sum(c).alias(n)).schema[n].dataType for n, c in sums.items()}
+    values = [tuple([o[0], *(float(x) if k.typeName() == "double" else x for x, k in zip(o[1:], kinds.values(), strict=True))]) for o in offsets]
+    before = F.broadcast(df.sparkSession.createDataFrame(values, "_r int, " + ", ".join(f"_{n} {k.simpleString()}" for n, k in kinds.items())))
+    window = Window.partitionBy("_range").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    inside = dealt.withColumns({n: F.coalesce(F.sum(c).over(window), F.lit(0).cast(kinds[n])) for n, c in sums.items()})
+    joined = inside.join(before, F.col("_range") == F.col("_r"))
+    return joined.withColumns({n: F.col(n) + F.col(f"_{n}") for n in sums}).drop("_range", "_r", *[f"_{n}" for n in sums])
+
+
 def slices(batch: pa.RecordBatch, column: str, most: int = BATCH_BYTES) -> Iterator[pa.RecordBatch]:
     """The batch in runs of rows whose ``column`` holds about ``most`` bytes; a longer value is a run of its own."""
     n = batch.num_rows
@@ -80,4 +102,4 @@ def hex64(values: np.ndarray) -> list[str]:
     return [f"{v:016x}" for v in values.tolist()]
 
 
-__all__ = ["A_Z", "BLANK_WORD", "hex64", "lowered", "numbered", "partitions", "raw_texts", "slices", "spread_join", "written"]
+__all__ = ["A_Z", "BLANK_WORD", "hex64", "lowered", "numbered", "partitions", "raw_texts", "running_sums", "slices", "spread_join", "written"]

@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from linkweave.llm.common import hex64, partitions, slices, written
+from linkweave.llm.common import hex64, partitions, slices, spread_join, written
 
 #: Rows of one table key that a single task compares; larger groups are cut into tiles.
 MOST_IN_GROUP = 16_384
@@ -245,14 +245,20 @@ def near_fingerprints(fps: DataFrame, radius: int = 3, column: str = "fp", pairs
 
 
 def fingerprint_report(documents: DataFrame, radius: int = 3) -> DataFrame:
-    """One row for each document: fingerprints, likenesses, class of equal fingerprints and number of near classes."""
+    """One row for each document: fingerprints, likenesses, class of equal fingerprints and number of near classes.
+
+    Null texts are empty and have fingerprint 0. Repeated rows stand next to
+    each other in the order of the next documents. A single row is its own next
+    document; an empty table gives no rows. Columns other than doc_id and text
+    don't matter.
+    """
     rows = written(edited_with_next(documents), "fingerprints")
     classes = rows.groupBy("fp").agg(F.min("doc_id").alias("class_id"))
     links = near_fingerprints(rows.select("fp"), radius)
     found = classes.join(links, "fp", "left")
     like = lambda a, b: F.lit(1.0) - F.bit_count(F.col(a).bitwiseXOR(F.col(b))) / F.lit(64.0)
     text16 = lambda c: F.lower(F.lpad(F.hex(c), 16, "0"))
-    return rows.join(found, "fp", "left").select(
+    return spread_join(rows, found, "fp", ("doc_id", "edited_sha256"), partitions(documents)).select(
         "doc_id", "n_chars", "edited_sha256",
         text16("fp").alias("fingerprint"), text16("edited_fp").alias("edited_fingerprint"),
         like("fp", "edited_fp").alias("near_edited"), like("fp", "next_fp").alias("near_next"),

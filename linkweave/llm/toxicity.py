@@ -1,9 +1,10 @@
 """Toxicity by a classifier chain of linear models.
 
 Categories are predicted one after the other. The model of each sees the
-features of the text and the logits that the models before it gave. In
+features of the text and the probabilities that the models before it gave. In
 training those are out-of-fold predictions, so a later model learns from
-earlier ones as wrong as they will be on new texts.
+earlier ones as wrong as they will be on new texts. Texts with the same
+features lie in the same fold, so no copy of a text predicts it.
 
 Features are the presence of words and of their first four and five bytes.
 Each model keeps those whose log-odds differ most surely from 0.
@@ -46,7 +47,7 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
 
 @dataclass
 class Linear:
-    """A logistic model over chosen features and the logits of earlier categories."""
+    """A logistic model over chosen features and the probabilities of earlier categories."""
 
     ids: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int64))
     weights: np.ndarray = field(default_factory=lambda: np.zeros(0))
@@ -111,18 +112,23 @@ class Chain:
     def probabilities(self, rows: list[np.ndarray]) -> np.ndarray:
         before = np.zeros((len(rows), 0))
         for model in self.models:
-            before = np.column_stack([before, np.clip(model.logits(rows, before), -12, 12)])
-        return _sigmoid(before)
+            before = np.column_stack([before, _sigmoid(model.logits(rows, before))])
+        return before
+
+
+def folds_of(rows: list[np.ndarray], folds: int) -> np.ndarray:
+    """The fold of each row, the same for rows with the same features."""
+    return np.array([xxhash.xxh3_64_intdigest(ids.tobytes()) % folds for ids in rows], dtype=np.int64)
 
 
 def fit_chain(rows: list[np.ndarray], labels: np.ndarray, categories: tuple[str, ...] = CATEGORIES, folds: int = FOLDS) -> Chain:
-    """``labels`` has a column for each category; the fold of a row is its place modulo ``folds``.
+    """``labels`` has a column for each category; a hash of its features decides the fold of a row.
 
     The threshold is the out-of-fold probability of the last category with the
     best F1, 0.5 at least.
     """
     n = len(rows)
-    fold = np.arange(n) % folds
+    fold = folds_of(rows, folds)
     before, models = np.zeros((n, 0)), []
     for j in range(len(categories)):
         y = labels[:, j].astype(float)
@@ -132,10 +138,10 @@ def fit_chain(rows: list[np.ndarray], labels: np.ndarray, categories: tuple[str,
             part = fit_linear([rows[i] for i in inside], before[inside], y[inside])
             out[outside] = part.logits([rows[i] for i in outside], before[outside])
         models.append(fit_linear(rows, before, y))
-        before = np.column_stack([before, np.clip(out, -12, 12)])
+        before = np.column_stack([before, _sigmoid(out)])
     threshold = 0.5
     if n:
-        p, y = _sigmoid(before[:, -1]), labels[:, -1].astype(bool)
+        p, y = before[:, -1], labels[:, -1].astype(bool)
         order = np.argsort(-p, kind="stable")
         hits = np.cumsum(y[order])
         f1 = 2 * hits / (np.arange(1, n + 1) + max(y.sum(), 1))
@@ -148,8 +154,11 @@ def fit_chain(rows: list[np.ndarray], labels: np.ndarray, categories: tuple[str,
 def fitted(documents: DataFrame, labels: DataFrame, categories: tuple[str, ...] = CATEGORIES, most: int = MOST_LABELLED) -> Chain:
     """A chain fitted on ``most`` labelled documents at most.
 
-    Rows with a null doc_id or label are left out. Of the texts only features
-    come to the driver, of a bounded number of rows.
+    Rows with a null doc_id or label are left out; without any, the chain
+    rejects nothing. Labels beyond ``most`` don't matter: those with the
+    smallest hashes of doc_id are taken. Of the texts only features come to the
+    driver, of a bounded number of rows; each model keeps up to MOST_FEATURES
+    that occur in four of them or more.
     """
     known = labels.select(F.col("doc_id").cast("long").alias("_l"), *[F.col(c).cast("int").alias(f"_y{i}") for i, c in enumerate(categories)]).dropna()
     drawn = known.orderBy(F.xxhash64("_l"), *known.columns).limit(most)
@@ -174,7 +183,8 @@ def fitted(documents: DataFrame, labels: DataFrame, categories: tuple[str, ...]
 def scored(documents: DataFrame, chain: Chain, carry: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """The ``carry`` columns, p_<category> for each category, and ``rejected``: the last one at or over the threshold.
 
-    A null or empty text has no features; repeated rows score alike.
+    A null or empty text has no features; repeated rows score alike; an empty
+    table gives no rows.
     """
     source = documents.select(*carry, F.col("text").cast("string").alias("_text"))
     sent = documents.sparkSession.sparkContext.broadcast(chain)

@@ -48,7 +48,8 @@ def judged(pages: DataFrame, rules: DataFrame, default: str = "allow", url: str
     with the longest host and path together wins, then the longer host, then
     the smaller verdict. Without one, ``rule`` is null and the verdict is
     ``default``. Urls that are null or hold no ``://`` have an empty host and
-    path, which no rule fits.
+    path, which no rule fits. Repeated rows are judged alike, an empty table
+    gives no rows, and columns other than the two named don't matter.
     """
     spark = pages.sparkSession
     host, path = url_parts(url)
