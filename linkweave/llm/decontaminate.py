@@ -30,7 +30,11 @@ PROBE_BITS = 24
 _SEPARATORS = bytes([*range(0x00, 0x30), *range(0x3A, 0x61), *range(0x7B, 0x80)])
 _TO_SPACE = bytes(0x20 if i in _SEPARATORS and not 0x41 <= i <= 0x5A else (i + 32 if 0x41 <= i <= 0x5A else i) for i in range(256))
 _MIX = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5, 0x85EBCA77C2B2AE63)
-_HASHES: dict[bytes, int] = {}
+#: A word's hash is the sum of its bytes' values times powers of BASE, whose inverse modulo 2 ** 64 takes off where it starts.
+_BASE, _SEGMENT = 0x9E3779B97F4A7C15, 1 << 20
+_TABLE = np.frombuffer(_TO_SPACE, np.uint8)
+_VALUES = np.frombuffer(b"".join(xxhash.xxh3_64_digest(bytes([i])) for i in range(256)), np.uint64).copy()
+_POWERS: dict[str, np.ndarray] = {}
 
 
 def words_of(raw: bytes) -> list[bytes]:
@@ -38,26 +42,59 @@ def words_of(raw: bytes) -> list[bytes]:
     return raw.translate(_TO_SPACE).split()
 
 
-def _word_hash(word: bytes) -> int:
-    found = _HASHES.get(word)
-    if found is None:
-        if len(_HASHES) > 400_000:
-            _HASHES.clear()
-        found = _HASHES[word] = xxhash.xxh3_64_intdigest(word)
-    return found
-
-
-def shingle_ids(words: list[bytes], size: int) -> np.ndarray:
-    """A signed 64-bit hash for each run of ``size`` words."""
-    if len(words) < size:
-        return np.zeros(0, np.int64)
-    hashes = np.fromiter(map(_word_hash, words), dtype=np.uint64, count=len(words))
-    n = len(words) - size + 1
-    total = np.zeros(n, np.uint64)
-    for i in range(size):
-        total += hashes[i : i + n] * np.uint64(_MIX[i % len(_MIX)] + 2 * (i // len(_MIX)))
-    total ^= total >> np.uint64(29)
-    return (total * np.uint64(0xBF58476D1CE4E5B9)).view(np.int64)
+def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of the base and of its inverse, 0 to n - 1 at least."""
+    if len(_POWERS.get("up", ())) < n:
+        for name, base in (("up", _BASE), ("down", pow(_BASE, -1, 1 << 64))):
+            steps = np.full(n, base, np.uint64)
+            steps[0] = 1
+            _POWERS[name] = np.multiply.accumulate(steps)
+    return _POWERS["up"], _POWERS["down"]
+
+
+class Words:
+    """The words of texts that lie end to end: where each starts and ends, its hash, and the first word of each text (n + 1 places)."""
+
+    def __init__(self, body: np.ndarray, offsets: np.ndarray):
+        self.lowered = _TABLE[body]
+        inside = self.lowered != 0x20
+        before = np.concatenate([[False], inside])[:-1]
+        after = np.concatenate([inside, [False]])[1:]
+        bounds = offsets[(offsets > 0) & (offsets < len(body))]
+        before[bounds] = False  # no word crosses from one text to the next
+        after[bounds - 1] = False
+        self.starts, self.ends = np.flatnonzero(inside & ~before), np.flatnonzero(inside & ~after) + 1
+        self.first = np.searchsorted(self.starts, offsets)
+        self.hashes = np.zeros(len(self.starts), np.uint64)
+        lo = 0
+        while lo < len(self.starts):  # words that end within a segment, or one longer word
+            at = self.starts[lo]
+            hi = max(lo + 1, int(np.searchsorted(self.ends, at + _SEGMENT, side="right")))
+            part = self.lowered[at : self.ends[hi - 1]]
+            up, down = _powers(max(len(part), _SEGMENT))
+            sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(_VALUES[part] * up[: len(part)], dtype=np.uint64)])
+            a, z = self.starts[lo:hi] - at, self.ends[lo:hi] - at
+            self.hashes[lo:hi] = (sums[z] - sums[a]) * down[a]
+            lo = hi
+        self.hashes ^= self.hashes >> np.uint64(31)
+        self.hashes *= np.uint64(0xD6E8FEB86659FD93)
+
+    def shingles(self, size: int) -> tuple[np.ndarray, np.ndarray]:
+        """The word at which each run of ``size`` words of one text starts, and the run's signed 64-bit hash."""
+        n = len(self.hashes) - size + 1
+        if n <= 0:
+            return np.zeros(0, np.int64), np.zeros(0, np.int64)
+        total = np.zeros(n, np.uint64)
+        for i in range(size):
+            total += self.hashes[i : i + n] * np.uint64(_MIX[i % len(_MIX)] + 2 * (i // len(_MIX)))
+        total ^= total >> np.uint64(29)
+        owner = np.repeat(np.arange(len(self.first) - 1), np.diff(self.first))
+        at = np.flatnonzero(owner[:n] == owner[size - 1 :])
+        return at, (total * np.uint64(0xBF58476D1CE4E5B9)).view(np.int64)[at]
+
+    def phrase(self, lo: int, hi: int) -> str:
+        """Words lo to hi - 1, space-joined."""
+        return b" ".join(self.lowered[a:z].tobytes() for a, z in zip(self.starts[lo:hi].tolist(), self.ends[lo:hi].tolist(), strict=True)).decode()
 
 
 def item_windows(benchmark: DataFrame, window: int, shingle: int, item: str = "item_id", text: str = "text") -> DataFrame:
@@ -71,13 +108,16 @@ def item_windows(benchmark: DataFrame, window: int, shingle: int, item: str = "i
         for whole in batches:
             for batch in slices(whole, "text", 1 << 20):
                 out: list[tuple] = []
-                for name, text_ in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                    words = words_of(text_.encode())
-                    w = min(window, len(words))
+                body, offsets = raw_texts(batch.column(1))
+                for i, name in enumerate(batch.column(0).to_pylist()):
+                    own = body[offsets[i] : offsets[i + 1]]
+                    words = Words(own, np.array([0, len(own)]))
+                    n = len(words.starts)
+                    w = min(window, n)
                     size = min(shingle, w)
-                    ids = shingle_ids(words, size).tolist() if w else []
-                    for i in range(len(words) - w + 1 if w else 0):
-                        out.append((name, b" ".join(words[i : i + w]).decode(), w, size, ids[i : i + w - size + 1]))
+                    ids = words.shingles(size)[1].tolist() if w else []
+                    for k in range(n - w + 1 if w else 0):
+                        out.append((name, words.phrase(k, k + w), w, size, ids[k : k + w - size + 1]))
                 columns = list(zip(*out, strict=True)) or [()] * 5
                 kinds = (pa.string(), pa.string(), pa.int32(), pa.int32(), pa.list_(pa.int64()))
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=["item", "phrase", "w", "size", "shingles"])
@@ -112,16 +152,12 @@ def shingle_counts(documents: DataFrame, wanted: DataFrame, sizes: list[int], te
 
     def kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for batch in slices(whole, "text"):
+            for batch in slices(whole, "text", 1 << 20):
                 body, offsets = raw_texts(batch.column(0))
-                found: dict[int, list[np.ndarray]] = {s: [] for s in tables}
-                for i in range(batch.num_rows):
-                    words = words_of(body[offsets[i] : offsets[i + 1]].tobytes())
-                    for s, table in tables.items():
-                        ids = shingle_ids(words, s)
-                        found[s].append(ids[_in_table(table.value, ids)])
-                for s, parts in found.items():
-                    value, count = np.unique(np.concatenate(parts), return_counts=True)
+                words = Words(body, offsets)
+                for s, table in tables.items():
+                    ids = words.shingles(s)[1]
+                    value, count = np.unique(ids[_in_table(table.value, ids)], return_counts=True)
                     yield pa.RecordBatch.from_arrays([pa.array(np.full(len(value), s, np.int32)), pa.array(value), pa.array(count.astype(np.int64))], names=["size", "shingle", "n"])
 
     got = documents.select(F.col(text).cast("string").alias("text")).mapInArrow(kernel, "size int, shingle long, n long")
@@ -136,20 +172,20 @@ def probe(documents: DataFrame, prefixes: DataFrame, sizes: list[int], window: i
 
     def kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for batch in slices(whole, "text"):
+            for batch in slices(whole, "text", 1 << 20):
                 body, offsets = raw_texts(batch.column(2))
-                n_words, hits = [], []
-                for i in range(batch.num_rows):
-                    raw = body[offsets[i] : offsets[i + 1]].tobytes()
-                    words = words_of(raw)
-                    got = []
-                    for s, table in tables.items():
-                        ids = shingle_ids(words, s)
-                        for at in np.flatnonzero(_in_table(table.value, ids)).tolist():
-                            lo = max(0, at + s - window)
-                            got.append({"size": s, "shingle": int(ids[at]), "at": at, "lo": lo, "around": b" ".join(words[lo : at + window]).decode()})
-                    n_words.append(len(words))
-                    hits.append(got)
+                words = Words(body, offsets)
+                n_words = np.diff(words.first)
+                hits: list[list[dict]] = [[] for _ in range(batch.num_rows)]
+                for s, table in tables.items():
+                    places, ids = words.shingles(s)
+                    found = np.flatnonzero(_in_table(table.value, ids))
+                    owner = np.searchsorted(words.first, places[found], side="right") - 1
+                    for k, doc in zip(found.tolist(), owner.tolist(), strict=True):
+                        start, end = int(words.first[doc]), int(words.first[doc + 1])
+                        at = int(places[k])
+                        lo = max(start, at + s - window)
+                        hits[doc].append({"size": s, "shingle": int(ids[k]), "at": at - start, "lo": lo - start, "around": words.phrase(lo, min(end, at + window))})
                 yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(n_words, pa.int64()), pa.array(hits, pa.list_(hit))], names=["doc_id", "text_key", "n_words", "hits"])
 
     source = documents.select(F.col("doc_id").cast("long").alias("doc_id"), text_key(text).alias("text_key"), F.col(text).cast("string").alias("text"))
