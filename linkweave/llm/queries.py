@@ -44,7 +44,7 @@ def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = mixing.mixture(_table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
+    rows = mixing.mixture(mixing.narrow(_table(spark, sf_dir, "documents")), size="size", digest="digest")
     return rows.select("row.doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"), "copies")
 
 
