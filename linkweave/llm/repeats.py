@@ -32,8 +32,8 @@ GRAM = 8
 KEY = 64
 #: Places of one anchor that a task sorts together; strings of anchors with more are counted as rows.
 MOST_PLACES = 20_000
-#: Bytes that one call of the suffix sort takes, whole anchors together; an anchor with more is ordered by digests.
-KERNEL_BYTES = 4 << 20
+#: Bytes that one suffix sort takes, whole anchors together; an anchor with more than twice KERNEL_BYTES is ordered by digests.
+SORT_BYTES, KERNEL_BYTES = 1 << 18, 4 << 20
 
 
 def anchors(body: np.ndarray, offsets: np.ndarray, length: int, key: int = KEY) -> np.ndarray:
@@ -84,11 +84,11 @@ def anchors(body: np.ndarray, offsets: np.ndarray, length: int, key: int = KEY)
     return rows[np.lexsort((rows[:, 1], rows[:, 0]))]
 
 
-def suffix_order(body: np.ndarray, cell: np.ndarray, length: int) -> np.ndarray:
-    """For each position the class of its ``length``-byte string, equal for equal strings of the same cell, in suffix order.
+def suffix_order(body: np.ndarray, starts: np.ndarray, length: int) -> np.ndarray:
+    """The class of the ``length``-byte string at each of ``starts``, equal for equal strings, in suffix order.
 
-    Positions too near the end of ``body`` have what follows read as empty;
-    the caller doesn't ask for them.
+    Prefixes grow two- or threefold with each sort. What follows the end of
+    ``body`` reads as empty; no string of ``starts`` reaches that far.
     """
     n = len(body)
     padded = np.concatenate([body, np.zeros(GRAM, np.uint8)])
@@ -96,27 +96,27 @@ def suffix_order(body: np.ndarray, cell: np.ndarray, length: int) -> np.ndarray:
     for i in range(GRAM):
         value |= padded[i : i + n].astype(np.uint64) << np.uint64(8 * (GRAM - 1 - i))
     _, rank = np.unique(value, return_inverse=True)
-    if cell.max(initial=0):
-        _, rank = np.unique(rank.astype(np.int64) + cell.astype(np.int64) * n, return_inverse=True)
-    size = GRAM
+    rank, size = rank.astype(np.int64), GRAM
     while size < length:
-        step = min(size, length - size)
-        second = np.zeros(n, np.int64)
-        second[: n - step] = rank[step:] + 1
-        both = rank.astype(np.int64) * (n + 2) + second
-        _, rank = np.unique(both, return_inverse=True)
-        size += step
-    return rank
-
-
-def digest_order(body: np.ndarray, starts: np.ndarray, cell: np.ndarray, length: int) -> np.ndarray:
-    """Classes as ``suffix_order`` gives them at ``starts``, by 128-bit digests, in far less memory."""
+        top = int(rank.max(initial=0)) + 2
+        parts = 3 if 2 * size < length and top**3 < 1 << 63 else 2
+        after = np.concatenate([rank + 1, np.zeros(length, np.int64)])
+        last = parts * size >= length
+        at = starts if last else np.arange(n)
+        key = rank[at]
+        for k in range(1, parts):
+            key = key * top + after[at + min(k * size, length - size)]
+        _, rank = np.unique(key, return_inverse=True)
+        size = parts * size
+    return rank if size > GRAM else rank[starts]
+
+
+def digest_order(body: np.ndarray, starts: np.ndarray, length: int) -> np.ndarray:
+    """Classes as ``suffix_order`` gives them, in order of 128-bit digests, in far less memory."""
     raw = body.tobytes()
     digest = xxhash.xxh3_128_digest
-    names = np.frombuffer(b"".join(digest(raw[i : i + length], int(c)) for i, c in zip(starts.tolist(), cell[starts].tolist(), strict=True)), dtype="V16")
-    rank = np.zeros(len(body), np.int64)
-    rank[starts] = np.unique(names, return_inverse=True)[1]
-    return rank
+    names = np.frombuffer(b"".join(digest(raw[i : i + length]) for i in starts.tolist()), dtype="V16")
+    return np.unique(names, return_inverse=True)[1]
 
 
 def longest_factors(places: np.ndarray, common: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
@@ -152,12 +152,12 @@ def longest_factors(places: np.ndarray, common: np.ndarray, least: int) -> tuple
 def repeated_starts(rank: np.ndarray, starts: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
     """Of ``starts``, ascending positions, whether the string there also starts earlier, and whether it starts later.
 
-    Suffixes are ordered by their first ``length`` bytes (``rank``), then by
-    position, so common prefixes count as ``length`` or as less; the factors of
+    Suffixes are ordered by their first ``length`` bytes (``rank``, the class
+    of each), then by position, so common prefixes count as ``length`` or as less; the factors of
     the mirrored positions are those that come later.
     """
-    order = np.lexsort((starts, rank[starts]))
-    same = rank[starts[order]][1:] == rank[starts[order]][:-1]
+    order = np.lexsort((starts, rank))
+    same = rank[order][1:] == rank[order][:-1]
     common = np.concatenate([[0], np.where(same, length, 0)])[: len(starts)]
     earlier, later = np.zeros(len(starts), bool), np.zeros(len(starts), bool)
     earlier[order] = longest_factors(starts[order], common, length)[0] >= length
@@ -183,7 +183,7 @@ def text_table(documents: DataFrame, length: int, key: int = KEY) -> DataFrame:
 
     def kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for batch in slices(whole, "text", 1 << 20):
+            for batch in slices(whole, "text", 1 << 18):
                 body, offsets = raw_texts(batch.column(2))
                 rows = anchors(body, offsets, length, key)
                 keys: list[list[int]] = [[] for _ in range(batch.num_rows)]
@@ -239,7 +239,7 @@ def _gathered(held: DataFrame, length: int, key: int) -> DataFrame:
 
     def kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for batch in slices(whole, "text", 1 << 20):
+            for batch in slices(whole, "text", 1 << 18):
                 body, offsets = raw_texts(batch.column(2))
                 rows = anchors(body, offsets, length, key)
                 raw, base = body.tobytes(), offsets.tolist()
@@ -277,20 +277,18 @@ def _sorted_cells(places: DataFrame, length: int, keep_first: bool, parts: int)
             groups.append(list(by_bytes.values()))
         if not groups:
             return out
-        blobs, cell_of, at, size = [], [], [], 0
-        for c, group in enumerate(groups):
+        # Equal strings have equal anchors, so strings of different cells differ by themselves.
+        blobs, at, size = [], [], 0
+        for group in groups:
             for same in group:
                 owners.append(same)
                 at.append(size)
                 blobs.append(same[0][2])
-                cell_of.append(c)
                 size += len(same[0][2])
         body = np.frombuffer(b"".join(blobs), np.uint8)
-        lengths = np.array([len(b) for b in blobs])
-        cell = np.repeat(np.array(cell_of), lengths)
         n_strings = np.array([same[0][3] for same in owners])
         starts = np.concatenate([np.arange(a, a + n) for a, n in zip(at, n_strings.tolist(), strict=True)])
-        rank = suffix_order(body, cell, length) if len(body) <= 2 * KERNEL_BYTES else digest_order(body, starts, cell, length)
+        rank = suffix_order(body, starts, length) if len(body) <= 2 * KERNEL_BYTES else digest_order(body, starts, length)
         before, after = repeated_starts(rank, starts, length)
         edge = np.concatenate([[0], np.cumsum(n_strings)])
         for i, same in enumerate(owners):
@@ -315,7 +313,7 @@ def _sorted_cells(places: DataFrame, length: int, keep_first: bool, parts: int)
             for batch in slices(whole, "around"):
                 for k, *place in zip(*(batch.column(i).to_pylist() for i in range(6)), strict=True):
                     if k != last:
-                        if cells and (size > KERNEL_BYTES or len(cells[-1]) > 1000):
+                        if cells and (size > SORT_BYTES or len(cells[-1]) > 1000):
                             yield batch_of(solve(cells))
                             cells, size = [], 0
                         cells.append([])

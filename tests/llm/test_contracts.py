@@ -288,6 +288,7 @@ def test_mixing(docs, rows):
 def test_repeats(docs, rows, most, kernel, monkeypatch):
     monkeypatch.setattr(repeats, "MOST_PLACES", most)  # 3: nearly all anchors go as rows
     monkeypatch.setattr(repeats, "KERNEL_BYTES", kernel)  # 500: nearly all anchors go by digests
+    monkeypatch.setattr(repeats, "SORT_BYTES", min(kernel, 1 << 18))
     texts = [(r[1] or "").encode() for r in rows]
     seen = Counter(t[i : i + 400] for t in texts for i in range(len(t) - 399))
     want = Counter()
@@ -320,6 +321,19 @@ def test_longest_factors(letters):
                 assert at == -1 if not long else at < place and shared(at, place) == long
 
 
+@pytest.mark.parametrize("length", [8, 9, 20, 24, 30, 72, 100])
+def test_suffix_order(length):
+    """Classes stand as the strings do."""
+    rng = np.random.default_rng(length)
+    body = rng.integers(97, 99, 3000).astype(np.uint8)
+    body[1000:1400] = body[200:600]
+    starts = np.sort(rng.choice(3000 - length, 900, replace=False))
+    strings = [body[i : i + length].tobytes() for i in starts]
+    want = {s: i for i, s in enumerate(sorted(set(strings)))}
+    rank = repeats.suffix_order(body, starts, length)
+    assert np.array_equal(np.unique(rank, return_inverse=True)[1], [want[s] for s in strings])
+
+
 @pytest.mark.parametrize("most", [4000, 3])
 def test_repeats_keep_first(spark, most, monkeypatch):
     monkeypatch.setattr(repeats, "MOST_PLACES", most)
