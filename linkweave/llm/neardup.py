@@ -315,7 +315,7 @@ def near_candidates(nodes: DataFrame, radius: int, similarity: float) -> DataFra
     """
     spark = nodes.sparkSession
     steps = F.floor(F.log(F.col("size").cast("double")) * (SIZE_STEPS / -math.log(similarity))).cast("int")
-    cells = nodes.where("size > 0").withColumns({"pop": steps, "lead": F.shiftrightunsigned("fp", 64 - CELL_BITS).cast("int")})
+    cells = nodes.where("size > 0").withColumns({"pop": steps, "lead": F.lit(0)})
     plan = _tiling(cells, SIZE_STEPS + 1)
     if plan is None:
         return spark.createDataFrame([], "cell string, left array<long>, right array<long>, hit binary")
