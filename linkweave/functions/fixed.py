@@ -141,5 +141,5 @@ PROFILED_SUFFIXES = ["inc", "llc", "corp", "corporation", "ltd", "limited", "pvt
 # Shares of clusters of 0 to 10 matches, in percent.
 CLUSTER_SHARES = [5.6, 5.4, 17.0, 24.2, 22.0, 14.5, 7.5, 3.0, 0.9, 0.2, 0.1]
 
-#: Characters that a list of ids must not hold.
+# Fixed value: characters that a list of ids must not hold.
 FORBIDDEN_IN_LIST = r"""[ \t"'\[\]{}()]"""

@@ -27,6 +27,7 @@ from linkweave.functions.fixed import (
     LEGAL_FORMS,
     LEGAL_WORDS,
     MAIL_DOMAINS,
+    PROFILED_SUFFIXES,
 )
 
 _DEVANAGARI = str.maketrans({k: v for k, v in DEVANAGARI_LETTERS.items() if len(k) == 1})
@@ -121,6 +122,12 @@ def domain_root_unfiltered(c: Column | str) -> Column:
     return F.lower(null_if_empty(F.regexp_extract(_text(c), rf"(?iU)([a-z0-9-]+)\.(?:{DOMAIN_ENDINGS})\b", 1)))
 
 
+def name_tokens(c: Column | str) -> Column:
+    """Words of three or more letters and digits, lower case, common company suffixes left out."""
+    clean = F.regexp_replace(F.lower(F.coalesce(_text(c), F.lit(""))), r"[^a-zA-Z0-9\s]", " ")
+    return F.filter(F.split(clean, r"\s+"), lambda w: (F.length(w) >= 3) & ~w.isin(PROFILED_SUFFIXES))
+
+
 def domains(c: Column | str) -> Column:
     """All web addresses of a text, as an array."""
     return F.regexp_extract_all(_text(c), F.lit(rf"(?i)([a-zA-Z0-9-]+\.(?:{DOMAIN_ENDINGS_SHORT}))"), 1)

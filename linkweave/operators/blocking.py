@@ -65,10 +65,6 @@ def not_blank(*keys: str, least: int = 1) -> Column:
     return reduce(and_, [F.col(k).isNotNull() & (F.trim(F.col(k)) != "") & (F.length(F.col(k)) >= least) for k in keys])
 
 
-def _ordered(*columns: str) -> list[Column]:
-    return [F.col(c) for c in columns]
-
-
 def block_on_keys(s1: DataFrame, cands: DataFrame, channel: Channel, s1_id: str = "entity_id", cand_id: str = "entity_id", within: tuple[str, ...] = ("country",)) -> DataFrame:
     """(s1_id, cand_id, priority, channel_mask) of one channel."""
     missing = [k for k in (*channel.keys, *within) if k not in s1.columns or k not in cands.columns]
@@ -130,6 +126,16 @@ def block(s1: DataFrame, cands: DataFrame, profile: Profile = SPARSE, similar: D
     return budget(merge_channels(*parts), sources, profile)
 
 
+def block_to_pairs(s1: DataFrame, cands: DataFrame, profile: Profile = DENSE, **channels) -> DataFrame:
+    """(s1_id, cand_id) of ``block``."""
+    return block(s1, cands, profile, **channels).select(*PAIR)
+
+
+def run_blocking(s1: DataFrame, cands: DataFrame, most: int = 40, **channels) -> DataFrame:
+    """``block`` with the dense profile and ``most`` candidates for each S1 row."""
+    return block(s1, cands, replace(DENSE, most_total=most), **channels)
+
+
 def merge_candidates(*parts: DataFrame) -> DataFrame:
     """Candidate tables with different columns as one: best priority, all channels, best score of each pair."""
     every = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
@@ -137,9 +143,10 @@ def merge_candidates(*parts: DataFrame) -> DataFrame:
     return every.groupBy(*PAIR).agg(*[f(c).alias(c) for c, f in rules.items() if c in every.columns])
 
 
-def _pairs(left: DataFrame, right: DataFrame, on: list[str], priority: int) -> DataFrame:
+def _pairs(left: DataFrame, right: DataFrame, on: list[str], priority: int, most: int) -> DataFrame:
+    """Pairs of equal keys; of a key's candidates the first ``most`` ids, since only so many of an S1 row are kept, by priority and then by id."""
     a = left.select(F.col("entity_id").alias("s1_id"), *on)
-    b = right.select(F.col("entity_id").alias("cand_id"), *on)
+    b = top_per(right.select(F.col("entity_id").alias("cand_id"), *on).dropna(subset=on).distinct(), on, [F.col("cand_id")], most)
     return a.join(b, on).select(*PAIR, F.lit(priority).alias("priority"))
 
 
@@ -155,9 +162,9 @@ def three_channel_candidates(s1: DataFrame, cands: DataFrame, most: int = 8, rar
     rare_left = rare_keys(a.where(two), ["country", "t0", "t1"], rare)
     return _best(
         [
-            _pairs(a.where(F.length("cname") > 2), b.where(F.length("cname") > 2), ["country", "cname"], 1),
-            _pairs(a.where(F.length("caddr") > 8), b.where(F.length("caddr") > 8), ["country", "caddr"], 2),
-            _pairs(rare_left, b.where(two), ["country", "t0", "t1"], 3),
+            _pairs(a.where(F.length("cname") > 2), b.where(F.length("cname") > 2), ["country", "cname"], 1, most),
+            _pairs(a.where(F.length("caddr") > 8), b.where(F.length("caddr") > 8), ["country", "caddr"], 2, most),
+            _pairs(rare_left, b.where(two), ["country", "t0", "t1"], 3, most),
         ],
         most,
     )
@@ -171,12 +178,12 @@ def six_channel_candidates(s1: DataFrame, cands: DataFrame, most: int = 8) -> Da
     two, prefix = (F.length("t0") >= 4) & (F.length("t1") >= 4), F.length("p4") == 4
     return _best(
         [
-            _pairs(a.where(F.length("cname") > 2), b.where(F.length("cname") > 2), ["country", "cname"], 1),
-            _pairs(a.where(own_domain), b.where(own_domain), ["country", "domain"], 1),
-            _pairs(a.where(F.length("caddr") > 8), b.where(F.length("caddr") > 8), ["country", "caddr"], 2),
-            _pairs(a.where(street), b.where(street), ["country", "snum", "t0"], 3),
-            _pairs(rare_keys(a.where(two), ["country", "t0", "t1"], 25), b.where(two), ["country", "t0", "t1"], 4),
-            _pairs(rare_keys(a.where(prefix), ["country", "p4"], 15), b.where(prefix), ["country", "p4"], 5),
+            _pairs(a.where(F.length("cname") > 2), b.where(F.length("cname") > 2), ["country", "cname"], 1, most),
+            _pairs(a.where(own_domain), b.where(own_domain), ["country", "domain"], 1, most),
+            _pairs(a.where(F.length("caddr") > 8), b.where(F.length("caddr") > 8), ["country", "caddr"], 2, most),
+            _pairs(a.where(street), b.where(street), ["country", "snum", "t0"], 3, most),
+            _pairs(rare_keys(a.where(two), ["country", "t0", "t1"], 25), b.where(two), ["country", "t0", "t1"], 4, most),
+            _pairs(rare_keys(a.where(prefix), ["country", "p4"], 15), b.where(prefix), ["country", "p4"], 5, most),
         ],
         most,
     )

@@ -8,10 +8,11 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from linkweave.functions.text import split_name
+from linkweave.sources.tables import in_order
 
 
 def with_split(df: DataFrame, column: str = "s1_id", **options) -> DataFrame:
@@ -19,6 +20,23 @@ def with_split(df: DataFrame, column: str = "s1_id", **options) -> DataFrame:
     return df.withColumn("split", split_name(column, **options))
 
 
+def prefix_split(df: DataFrame, share: float = 0.6, column: str = "s1_id") -> DataFrame:
+    """``df`` with train for the first ``share`` of entities in order of id, else val."""
+    return _cut(df, share, column, F.col(column))
+
+
+def shuffled_split(df: DataFrame, share: float = 0.6, seed: int = 42, column: str = "s1_id") -> DataFrame:
+    """``df`` with train for ``share`` of the entities in an order that a seeded hash decides, else val."""
+    return _cut(df, share, column, F.md5(F.concat(F.lit(f"{seed}:"), F.col(column))))
+
+
+def _cut(df: DataFrame, share: float, column: str, key: Column) -> DataFrame:
+    placed = in_order(df.select(column, key.alias("_key")).where(F.col(column).isNotNull()).distinct(), ["_key", column], "_place")
+    cut = int(placed.count() * share)
+    side = placed.select(F.col(column).alias("_entity"), F.when(F.col("_place") < cut, "train").otherwise("val").alias("split"))
+    return df.join(side, F.col(column) == F.col("_entity"), "left").drop("_entity")
+
+
 def fit(rows: DataFrame, features: list[str], label: str = "target", trees: int = 60, depth: int = 5, rate: float = 0.1, seed: int = 42) -> PipelineModel:
     """A model fitted on the train split; if there is a dev split it stops adding trees when dev loss stops falling.
 

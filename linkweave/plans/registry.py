@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -12,6 +13,7 @@ from linkweave.functions import text as t
 from linkweave.operators import assign, blocking, features, metrics, model, profile, validate, vectors
 from linkweave.plans import views as v
 from linkweave.sources import tables
+from linkweave.sources.scratch import shared_dir, written
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -145,7 +147,6 @@ def _sql_channel(c: blocking.Channel) -> str:
 
 
 _CHANNELS = blocking.SPARSE.channels
-_CHANNELS_SQL = [c for c in _CHANNELS if c.keys != ("domain_root",)]
 
 
 @query(f"WITH {v.SQL_KEYED} {_sql_channel(_CHANNELS[0])}")
@@ -163,12 +164,12 @@ def block_rare_gate(spark, d):
     return blocking.rare_keys(v.table(spark, d, "part").select("p_partkey", "p_name", "p_brand"), ["p_name", "p_brand"], 20)
 
 
-_SQL_MERGED = f"{v.SQL_KEYED}, ch AS ({' UNION ALL '.join(_sql_channel(c) for c in _CHANNELS_SQL)}), merged AS (SELECT s1_id, cand_id, min(priority) AS priority_rank, bit_or(channel_mask) AS channel_mask FROM ch GROUP BY ALL)"
+_SQL_MERGED = f"{v.SQL_KEYED}, ch AS ({' UNION ALL '.join(_sql_channel(c) for c in _CHANNELS)}), merged AS (SELECT s1_id, cand_id, min(priority) AS priority_rank, bit_or(channel_mask) AS channel_mask FROM ch GROUP BY ALL)"
 
 
 def _merged(spark, d):
     s1, pool = v.keyed(spark, d)
-    return blocking.merge_channels(*[blocking.block_on_keys(s1, pool, c) for c in _CHANNELS_SQL])
+    return blocking.merge_channels(*[blocking.block_on_keys(s1, pool, c) for c in _CHANNELS])
 
 
 @query(f"WITH {_SQL_MERGED} SELECT * FROM merged")
@@ -326,9 +327,9 @@ def _sql_grams(c: str) -> str:
     return f"list_concat({', '.join(f'CASE WHEN length({c}) >= {n} THEN list_transform(range(1, length({c}) - {n} + 2), lambda i: substr({c}, i, {n})) ELSE [] END' for n in (3, 4))})"
 
 
-@query(
-    f"""WITH {v.SQL_KEYED},
-txt AS (SELECT entity_id AS id, source_type, country AS part, name_no_legal AS text FROM k),
+def _sql_tfidf(most: int, least: float) -> str:
+    """CTEs from k; the last is sim (s1_id, cand_id, similarity)."""
+    return f"""txt AS (SELECT entity_id AS id, source_type, country AS part, name_no_legal AS text FROM k),
 g AS (SELECT id, source_type, part, unnest({_sql_grams("text")}) AS gram FROM txt),
 sz AS (SELECT part, count(*) AS n FROM txt WHERE source_type > 1 GROUP BY part),
 df AS (SELECT part, gram, count(DISTINCT id) AS df FROM g WHERE source_type > 1 GROUP BY ALL),
@@ -336,9 +337,11 @@ known AS (SELECT part, gram, ln((1 + n) / (1 + df)) + 1 AS idf FROM df JOIN sz U
 w AS (SELECT id, source_type, part, gram, (1 + ln(count(*))) * any_value(idf) AS w FROM g JOIN known USING (part, gram) GROUP BY id, source_type, part, gram),
 u AS (SELECT id, source_type, part, gram, w / sqrt(sum(w * w) OVER (PARTITION BY id)) AS w FROM w),
 s AS (SELECT a.id AS s1_id, b.id AS cand_id, sum(a.w * b.w) AS similarity FROM u a JOIN u b ON a.part = b.part AND a.gram = b.gram WHERE a.source_type = 1 AND b.source_type > 1 GROUP BY ALL),
-r AS (SELECT *, row_number() OVER (PARTITION BY s1_id ORDER BY round(similarity, 9) DESC, cand_id) AS r FROM s WHERE round(similarity, 9) >= 0.22)
-SELECT s1_id, cand_id, round(similarity, 4) AS similarity FROM r WHERE r <= 15"""
-)
+r AS (SELECT *, row_number() OVER (PARTITION BY s1_id ORDER BY round(similarity, 9) DESC, cand_id) AS r FROM s WHERE round(similarity, 9) >= {least}),
+sim AS (SELECT s1_id, cand_id, similarity FROM r WHERE r <= {most})"""
+
+
+@query(f"WITH {v.SQL_KEYED}, {_sql_tfidf(15, 0.22)} SELECT s1_id, cand_id, round(similarity, 4) AS similarity FROM sim")
 def tfidf_topk(spark, d):
     s1, pool = (x.select(F.col("entity_id").alias("id"), F.col("country").alias("part"), F.col("name_no_legal").alias("text")) for x in v.keyed(spark, d))
     return vectors.tfidf_top_k(s1, pool).withColumn("similarity", F.round("similarity", 4))
@@ -364,6 +367,48 @@ def lsa_topk(spark, d):
     return vectors.latent_top_k(s1, pool)
 
 
+def _vector_sides(spark, d):
+    """The vectors as those of the entities with the same numbers."""
+    kind = F.pmod(F.col("vec_id"), F.lit(10))
+    number = F.when(kind < 4, 1).when(kind < 7, 2).otherwise(3)
+    entity = F.concat(F.lit("S"), number.cast("string"), F.lit("-"), F.lpad(F.col("vec_id").cast("string"), 10, "0"))
+    rows = v.table(spark, d, "embeddings").select(entity.alias("id"), F.lit("all").alias("part"), F.col("embedding").alias("vector"), number.alias("source_type"))
+    return tuple(x.drop("source_type") for x in v.sides(rows))
+
+
+def _sql_block(p: blocking.Profile) -> str:
+    entity = "'S' || CASE WHEN vec_id % 10 < 4 THEN 1 WHEN vec_id % 10 < 7 THEN 2 ELSE 3 END || '-' || lpad(vec_id::VARCHAR, 10, '0')"
+    return f"""WITH {v.SQL_KEYED}, {_sql_tfidf(p.similarity_top_k, p.least_similarity)},
+vec AS (SELECT {entity} AS id, embedding::DOUBLE[] AS e FROM embeddings),
+near AS (SELECT a.id AS s1_id, b.id AS cand_id, list_cosine_similarity(a.e, b.e) AS cosine FROM vec a, vec b WHERE a.id LIKE 'S1-%' AND b.id NOT LIKE 'S1-%'),
+sem AS (SELECT s1_id, cand_id FROM (SELECT *, row_number() OVER (PARTITION BY s1_id ORDER BY round(cosine, 9) DESC, cand_id) AS q FROM near WHERE cosine >= 0) WHERE q <= 25 AND cosine > 0 AND s1_id IN (SELECT entity_id FROM k)),
+ch AS ({" UNION ALL ".join(_sql_channel(c) for c in p.channels)} UNION ALL SELECT s1_id, cand_id, 5, 64 FROM sim UNION ALL SELECT s1_id, cand_id, 6, 128 FROM sem),
+merged AS (SELECT s1_id, cand_id, min(priority) AS priority_rank, bit_or(channel_mask) AS channel_mask FROM ch GROUP BY ALL),
+m1 AS (SELECT *, row_number() OVER (PARTITION BY s1_id, substr(cand_id, 1, 2) ORDER BY priority_rank, cand_id) AS q1 FROM merged),
+m2 AS (SELECT *, row_number() OVER (PARTITION BY s1_id ORDER BY priority_rank, cand_id) AS q2 FROM m1 WHERE q1 <= CASE substr(cand_id, 1, 2) WHEN 'S2' THEN {p.most_by_source[2]} ELSE {p.most_by_source[3]} END)
+SELECT s1_id, cand_id, priority_rank, channel_mask FROM m2 WHERE q2 <= {p.most_total}"""
+
+
+def _blocked(spark, d, profile):
+    s1, pool = v.keyed(spark, d)
+    text = lambda x: x.select(F.col("entity_id").alias("id"), F.col("country").alias("part"), F.col("name_no_legal").alias("text"))
+    similar = vectors.tfidf_top_k(text(s1), text(pool), profile.similarity_top_k, profile.least_similarity)
+    semantic = vectors.semantic_candidates(vectors.dense_top_k(*_vector_sides(spark, d), top_k=25))
+    return blocking.block(s1, pool, profile, similar, semantic)
+
+
+@query(_sql_block(blocking.SPARSE))
+def block_sparse(spark, d):
+    """All eight channels and the budgets of the sparse profile."""
+    return _blocked(spark, d, blocking.SPARSE)
+
+
+@query(_sql_block(blocking.DENSE))
+def block_dense(spark, d):
+    """All eight channels and the budgets of the dense profile."""
+    return _blocked(spark, d, blocking.DENSE)
+
+
 # Features.
 _SQL_META = f"""{v.SQL_KEYED},
 np AS (SELECT a.entity_id AS s1_id, b.entity_id AS cand_id FROM ent a JOIN ent b ON a.country = b.country AND a.business_name = b.business_name WHERE a.source_type = 1 AND b.source_type > 1),
@@ -522,6 +567,101 @@ def reduction_ratio(spark, d):
     return metrics.reduction_ratio(v.name_pairs(spark, d), s1.count(), pool.count())
 
 
+_SQL_RANKED = "rk AS (SELECT *, row_number() OVER (PARTITION BY s1_id ORDER BY p DESC, cand_id) AS rank FROM pairs)"
+_METRICS = "f05_macro, f05_ceiling, precision_macro, recall_macro, singleton_accuracy, non_singleton_f05, candidate_recall, total_entities, num_singletons, num_non_singletons"
+
+
+def _ranked(spark, d):
+    return v.scored_pairs(spark, d).withColumn("rank", F.row_number().over(Window.partitionBy("s1_id").orderBy(F.desc("p"), "cand_id")))
+
+
+@query(f"WITH {v.SQL_SCORED}, {_SQL_RANKED}, pred AS (SELECT s1_id, cand_id FROM rk WHERE rank <= 4), {v.sql_scores('pred')} {v.sql_metrics()}")
+def local_validation(spark, d):
+    return metrics.local_validation(v.s1_ids(spark, d), v.truth(spark, d), _ranked(spark, d))
+
+
+@query(
+    f"""WITH h AS (SELECT 'heuristic' AS approach, NULL::DOUBLE AS tau, {_METRICS} FROM (WITH {v.SQL_SCORED}, {_SQL_RANKED}, pred AS (SELECT s1_id, cand_id FROM rk WHERE rank <= 4), {v.sql_scores('pred')} {v.sql_metrics()})),
+m AS (SELECT 'model' AS approach, tau, {_METRICS} FROM ({ORACLES["threshold_sweep"]}) ORDER BY f05_macro DESC, tau LIMIT 1),
+u AS (SELECT * FROM h UNION ALL SELECT * FROM m)
+SELECT u.*, round(u.f05_macro - h.f05_macro, 5) AS delta_f05, round(100 * (u.f05_macro - h.f05_macro) / (h.f05_macro + 1e-9), 2) AS delta_pct FROM u, h"""
+)
+def scoreboard(spark, d):
+    return metrics.scoreboard(v.s1_ids(spark, d), v.truth(spark, d), _ranked(spark, d))
+
+
+_ANCHORS, _LOWS = (0.6, 0.75, 0.9), (0.3, 0.5, 0.7)
+_SQL_GRID_TAUS = "taus(tau) AS (VALUES " + ", ".join(f"({{'anchor': {a}::DOUBLE, 'tau': {x}::DOUBLE}})" for a in _ANCHORS for x in _LOWS) + ")"
+
+
+@query(
+    f"WITH {v.SQL_SCORED}, {_SQL_GRID_TAUS}, top AS (SELECT *, max(p) OVER (PARTITION BY s1_id) AS top FROM pairs), tp AS (SELECT s1_id, cand_id, p, tau FROM top JOIN taus ON top >= tau.anchor AND p >= tau.tau), c AS (SELECT *, {_CAP.format(by='tau, ')} FROM tp), "
+    f"pred AS (SELECT tau, s1_id, cand_id FROM c WHERE {_WITHIN}), {v.sql_scores('pred', 'tau')}, final AS ({v.sql_metrics('tau')}) SELECT tau.anchor AS anchor, tau.tau AS tau, {_METRICS} FROM final"
+)
+def anchor_grid(spark, d):
+    return metrics.anchor_grid(v.s1_ids(spark, d), v.truth(spark, d), v.scored_pairs(spark, d), list(_ANCHORS), list(_LOWS))
+
+
+@query(
+    f"WITH {v.SQL_SCORED}, taus(tau) AS (VALUES {_TAUS}), rk AS (SELECT *, row_number() OVER (PARTITION BY s1_id ORDER BY cand_id DESC) AS rank FROM pairs), tp AS (SELECT * FROM rk JOIN taus ON p >= tau), "
+    f"c AS (SELECT *, row_number() OVER (PARTITION BY tau, s1_id, substr(cand_id, 1, 2) ORDER BY rank, cand_id) AS c FROM tp), pred AS (SELECT tau, s1_id, cand_id FROM c WHERE {_WITHIN}), {v.sql_scores('pred', 'tau')} {v.sql_metrics('tau')}"
+)
+def order_sweep(spark, d):
+    pairs = v.scored_pairs(spark, d).withColumn("rank", F.row_number().over(Window.partitionBy("s1_id").orderBy(F.desc("cand_id"))))
+    return metrics.order_sweep(v.s1_ids(spark, d), v.truth(spark, d), pairs, metrics.TAUS)
+
+
+@query()
+def greedy_sweep(spark, d):
+    return metrics.greedy_sweep(v.s1_ids(spark, d), v.truth(spark, d), v.scored_pairs(spark, d))
+
+
+@query(
+    f"WITH {v.SQL_SCORED}, l AS (SELECT (p >= 0.5)::INT AS z, (gt.s1_id IS NOT NULL)::INT AS y FROM pairs LEFT JOIN (SELECT DISTINCT * FROM gt) gt USING (s1_id, cand_id)), n AS (SELECT y AS class, count(*)::BIGINT AS support, count(*) FILTER (y = z)::BIGINT AS hit FROM l GROUP BY y), "
+    "k AS (SELECT z AS class, count(*) AS called FROM l GROUP BY z), q AS (SELECT class, coalesce(hit / called, 0.0) AS precision, hit / support AS recall, support FROM n LEFT JOIN k USING (class)) SELECT class, precision, recall, CASE WHEN precision + recall > 0 THEN 2 * precision * recall / (precision + recall) ELSE 0.0 END AS f1, support FROM q"
+)
+def classification_report(spark, d):
+    rows = features.labelled(v.scored_pairs(spark, d), v.truth(spark, d)).withColumn("prediction", (F.col("p") >= 0.5).cast("int"))
+    return metrics.classification_report(rows)
+
+
+@query(
+    f"WITH {v.SQL_SCORED} SELECT (SELECT count(*) FROM (SELECT DISTINCT * FROM gt)) AS total, (SELECT count(*) FROM (SELECT DISTINCT * FROM gt) JOIN pairs USING (s1_id, cand_id)) AS captured, avg(n) AS avg_candidates, sum(n)::BIGINT AS n_pairs, "
+    "100.0 * (SELECT count(*) FROM (SELECT DISTINCT * FROM gt) JOIN pairs USING (s1_id, cand_id)) / (SELECT count(*) FROM (SELECT DISTINCT * FROM gt)) AS recall_pct FROM (SELECT count(*) AS n FROM pairs GROUP BY s1_id)"
+)
+def written_recall(spark, d):
+    """The candidate file written and read again."""
+    path = f"{shared_dir(spark)}/candidates-{uuid.uuid4().hex}"
+    tables.write_tsv(candidate_lists(spark, d), path)
+    return metrics.written_recall(spark, path, v.truth(spark, d))
+
+
+@query(f"WITH {v.SQL_SCORED} SELECT DISTINCT s1_id, cand_id FROM pairs")
+def entity_lists(spark, d):
+    return tables.entity_lists(spark, candidate_lists(spark, d), "s1_id", "candidate_entity_ids")[1]
+
+
+@query(r"SELECT doc_id, list_filter(string_split_regex(regexp_replace(lower(text), '[^a-zA-Z0-9\s]', ' ', 'g'), '\s+'), lambda t: length(t) >= 3 AND t NOT IN (" + ", ".join(f"'{w}'" for w in t.PROFILED_SUFFIXES) + ")) AS tokens FROM documents")
+def name_tokens(spark, d):
+    return v.table(spark, d, "documents").select("doc_id", t.name_tokens("text").alias("tokens"))
+
+
+@query(f"WITH {v.SQL_ENT}, o AS (SELECT entity_id, row_number() OVER (ORDER BY entity_id) - 1 AS n, count(*) OVER () AS c FROM ent) SELECT entity_id, CASE WHEN n < floor(c * 0.6) THEN 'train' ELSE 'val' END AS split FROM o")
+def prefix_split(spark, d):
+    return model.prefix_split(v.entities(spark, d).select("entity_id"), 0.6, "entity_id")
+
+
+@query(f"WITH {v.SQL_ENT}, o AS (SELECT entity_id, row_number() OVER (ORDER BY md5('42:' || entity_id), entity_id) - 1 AS n, count(*) OVER () AS c FROM ent) SELECT entity_id, CASE WHEN n < floor(c * 0.6) THEN 'train' ELSE 'val' END AS split FROM o")
+def shuffled_split(spark, d):
+    return model.shuffled_split(v.entities(spark, d).select("entity_id"), 0.6, 42, "entity_id")
+
+
+@query(f"WITH {v.SQL_SCORED} SELECT 'candidates:unknown_id' AS \"check\", s1_id, cand_id AS detail FROM pairs WHERE substr(cand_id, 1, 2) = 'S3'")
+def unknown_ids(spark, d):
+    known = v.entities(spark, d).where("source_type < 3").select("entity_id")
+    return validate.unknown_ids(candidate_lists(spark, d), "candidate_entity_ids", known, "candidates")
+
+
 # Profiles.
 _SQL_SIZES = f"{v.SQL_TRUTH}, sz AS (SELECT s1.s1_id, count(cand_id) AS n, count(*) FILTER (cand_id LIKE 'S2-%') AS n2, count(*) FILTER (cand_id LIKE 'S3-%') AS n3 FROM s1 LEFT JOIN gt USING (s1_id) GROUP BY ALL)"
 
@@ -531,6 +671,12 @@ def cluster_histogram(spark, d):
     return profile.cluster_histogram(v.s1_ids(spark, d), v.truth(spark, d))
 
 
+@query(ORACLES["cluster_histogram"])
+def health(spark, d):
+    lists = tables.pair_lists(v.truth(spark, d).withColumn("priority_rank", F.lit(1)), v.s1_ids(spark, d), "matched_entity_ids")
+    return validate.health(lists, v.s1_ids(spark, d))
+
+
 @query(f"WITH {_SQL_SIZES} SELECT count(*) AS total, count(*) FILTER (n = 0) AS singletons, avg(n) AS mean_matches, avg(n) FILTER (n > 0) AS mean_non_singleton, max(n) AS max_matches, sum(n2)::BIGINT AS s2_matches, sum(n3)::BIGINT AS s3_matches FROM sz")
 def gt_stats(spark, d):
     return profile.truth_statistics(v.s1_ids(spark, d), v.truth(spark, d))
@@ -595,6 +741,6 @@ def cap_ids(spark, d):
 @query()
 def gbt_score(spark, d):
     rows = features.labelled(features.pair_features(v.name_pairs(spark, d), *v.keyed(spark, d)), v.truth(spark, d))
-    rows = model.with_split(rows).persist()
-    fitted = model.fit(rows, features.FEATURES, trees=15, depth=4)
+    rows = written(model.with_split(rows), "pairs")
+    fitted = model.fit(rows, features.FEATURES)
     return model.score(fitted, rows, features.FEATURES).select("s1_id", "cand_id", "target", "split", "p")

@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from linkweave.functions.fixed import DOMAIN_ENDINGS, MAIL_DOMAINS
 from linkweave.functions.text import clean_text
 from linkweave.operators.keys import key_columns
 from linkweave.sources.scratch import written
@@ -96,13 +97,15 @@ SQL_ENT = """ent AS (
 SQL_KEYED = f"""{SQL_ENT},
 c AS (
     SELECT *, {sql_clean(sql_junk("business_name"))} AS name_clean, {sql_clean(sql_junk("business_address"))} AS address_clean,
-        nullif(regexp_extract(business_address, '\\b(\\d{{1,5}})\\b', 1), '') AS street_number
+        nullif(regexp_extract(business_address, '\\b(\\d{{1,5}})\\b', 1), '') AS street_number,
+        lower(nullif(regexp_extract(business_name, '(?:https?://)?(?:www\\.)?([a-zA-Z0-9-]+)\\.(?:{DOMAIN_ENDINGS})\\b', 1), '')) AS domain
     FROM ent
 ),
 n AS (SELECT *, {sql_no_legal("name_clean")} AS name_no_legal FROM c),
 k AS (
     SELECT *, array_to_string(list_sort({sql_tokens("CASE WHEN name_no_legal <> '' THEN name_no_legal ELSE name_clean END")}), ' ') AS name_token_sorted_key,
-        {sql_tokens("name_clean", 3)}[1] AS first_token, {sql_tokens("name_clean", 3)}[2] AS second_token
+        {sql_tokens("name_clean", 3)}[1] AS first_token, {sql_tokens("name_clean", 3)}[2] AS second_token,
+        CASE WHEN domain NOT IN ({", ".join(f"'{m}'" for m in sorted(MAIL_DOMAINS))}) THEN domain END AS domain_root
     FROM n
 )"""
 

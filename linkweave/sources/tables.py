@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import json
-import os
+import uuid
 from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from linkweave.functions.text import id_list
+from linkweave.sources.scratch import written
 
 ENTITY_SCHEMA = T.StructType([T.StructField(n, T.StringType()) for n in ("entity_id", "business_name", "business_address", "country")])
 TRUTH_SCHEMA = T.StructType([T.StructField(n, T.StringType()) for n in ("source1_entity_id", "matched_entity_ids")])
@@ -42,10 +43,16 @@ def read_either(spark: SparkSession, parquet: str, tsv: str, schema: T.StructTyp
     return spark.read.parquet(parquet) if exists(spark, parquet) else read_tsv(spark, tsv, schema)
 
 
+def _store(spark: SparkSession, path: str):
+    """The path as the store's own object, and the store."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at, at.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
 def exists(spark: SparkSession, path: str) -> bool:
     """Whether the path is there, in whatever store it is."""
-    at = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return at.getFileSystem(spark._jsc.hadoopConfiguration()).exists(at)
+    at, store = _store(spark, path)
+    return store.exists(at)
 
 
 def first_existing(spark: SparkSession, paths: Iterable[str]) -> str:
@@ -57,17 +64,29 @@ def first_existing(spark: SparkSession, paths: Iterable[str]) -> str:
     raise FileNotFoundError(f"none of {tried}")
 
 
-def find_dataset(roots: Iterable[str], names: Iterable[str] = DATASET_NAMES) -> dict[str, str]:
-    """Paths of the known files under local roots, the first hit of each name."""
+def find_dataset(spark: SparkSession, roots: Iterable[str], names: Iterable[str] = DATASET_NAMES) -> dict[str, str]:
+    """Paths of the known files under the roots, in any store; of each name the first hit, by root and then by path."""
     found: dict[str, str] = {}
     wanted = set(names)
     for root in roots:
-        for folder, _, files in sorted(os.walk(root)):
-            for name in wanted & set(files):
-                found.setdefault(name, os.path.join(folder, name))
+        at, store = _store(spark, root)
+        if not store.exists(at):
+            continue
+        listed, here = store.listFiles(at, True), []
+        while listed.hasNext():
+            file = listed.next().getPath()
+            if file.getName() in wanted:
+                here.append((file.toString(), file.getName()))
+        for path, name in sorted(here):
+            found.setdefault(name, path)
     return found
 
 
+def looked_up(df: DataFrame, ids: Iterable[str], column: str = "entity_id") -> DataFrame:
+    """The rows of a few ids; the filter reaches the scan."""
+    return df.where(F.col(column).isin(list(ids)))
+
+
 def id_column(df: DataFrame, names: Iterable[str] = ID_COLUMNS) -> str:
     """The first of the known id column names that ``df`` has."""
     for name in names:
@@ -89,17 +108,28 @@ def entity_ids(*frames: DataFrame) -> DataFrame:
     return out.where("entity_id IS NOT NULL AND entity_id <> ''").distinct()
 
 
-def id_map(ids: DataFrame) -> DataFrame:
-    """(entity_id, entity_id_int): ids in order, numbered from 0 without gaps.
+def in_order(df: DataFrame, order: list[str], out: str) -> DataFrame:
+    """``df`` numbered from 0 without gaps in ``order``, which has no ties.
 
-    Ids fall into the ranges of a two-character prefix; ranges are numbered
-    apart and shifted by the count of those before, so no task sorts all ids.
+    Rows are dealt into ranges of the order, as many as there are shuffle
+    partitions; each is numbered by itself and shifted by the count of those
+    before, of which one number each comes to the driver.
     """
-    cut = ids.select("entity_id").withColumn("range", F.substring("entity_id", 1, 5))
-    local = cut.withColumn("n", F.row_number().over(Window.partitionBy("range").orderBy("entity_id")))
-    # One row for each prefix.
-    sizes = cut.groupBy("range").count().withColumn("before", F.coalesce(F.sum("count").over(Window.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    return local.join(sizes, "range").select("entity_id", (F.col("before") + F.col("n") - 1).cast("long").alias("entity_id_int"))
+    spark = df.sparkSession
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    dealt = written(df.repartitionByRange(parts, *order).withColumn("_range", F.spark_partition_id()), "ranges")
+    shift, starts = 0, []
+    for r in dealt.groupBy("_range").count().orderBy("_range").collect():
+        starts.append((r["_range"], shift))
+        shift += r["count"]
+    before = F.broadcast(spark.createDataFrame(starts, "_range int, _before long"))
+    place = F.row_number().over(Window.partitionBy("_range").orderBy(*order))
+    return dealt.withColumn("_n", place).join(before, "_range").withColumn(out, F.col("_before") + F.col("_n") - 1).drop("_range", "_before", "_n")
+
+
+def id_map(ids: DataFrame) -> DataFrame:
+    """(entity_id, entity_id_int): ids in order, numbered from 0 without gaps; ``ids`` are distinct."""
+    return in_order(ids.select("entity_id"), ["entity_id"], "entity_id_int")
 
 
 def with_id_ints(df: DataFrame, ids: DataFrame, column: str = "entity_id", out: str = "entity_id_int") -> DataFrame:
@@ -127,8 +157,28 @@ def convert_tsv(spark: SparkSession, tsv: str, parquet: str, codec: str = "zstd"
 
 
 def write_parquet(df: DataFrame, path: str, codec: str = "zstd") -> None:
-    """Replaces the table at ``path``; Spark's committer keeps unfinished files apart."""
-    df.write.mode("overwrite").option("compression", codec).parquet(path)
+    """Replaces the table at ``path``, which ``df`` may read: written beside it, then moved there, so that readers find the old table or the new one.
+
+    A failed write leaves the old table as it was.
+    """
+    spark = df.sparkSession
+    at, store = _store(spark, path)
+    fresh, old = (_store(spark, f"{path.rstrip('/')}.{kind}-{uuid.uuid4().hex}")[0] for kind in ("new", "old"))
+    df.write.option("compression", codec).parquet(fresh.toString())
+    had = store.exists(at)
+    if had and not store.rename(at, old):
+        raise OSError(f"can't move {path} aside")
+    if not store.rename(fresh, at):
+        if had:
+            store.rename(old, at)
+        raise OSError(f"can't move the new table to {path}")
+    if had:
+        store.delete(old, True)
+
+
+def append_parquet(df: DataFrame, path: str, rows_per_file: int = 1_000_000, codec: str = "zstd") -> None:
+    """Adds rows to the table at ``path`` in files of bounded length; tasks write as they go, so no chunk is held."""
+    df.write.mode("append").option("compression", codec).option("maxRecordsPerFile", rows_per_file).parquet(path)
 
 
 def pair_lists(pairs: DataFrame, entities: DataFrame, out: str, order: list | None = None, most: int | None = None) -> DataFrame:
@@ -145,14 +195,43 @@ def write_tsv(df: DataFrame, path: str, ordinal: str | None = None) -> None:
     rows.coalesce(1).write.mode("overwrite").csv(path, sep="\t", quote="", header=True, emptyValue="")
 
 
-def write_metadata(path: str, metadata: dict) -> None:
-    with open(path, "w") as f:
-        json.dump(metadata, f, indent=2, sort_keys=True)
+def write_metadata(spark: SparkSession, path: str, metadata: dict) -> None:
+    """A JSON file in any store, replaced if it is there."""
+    at, store = _store(spark, path)
+    out = store.create(at, True)
+    try:
+        out.write(bytearray(json.dumps(metadata, indent=2, sort_keys=True).encode()))
+    finally:
+        out.close()
 
 
-def read_metadata(path: str) -> dict:
-    with open(path) as f:
-        return json.load(f)
+def read_metadata(spark: SparkSession, path: str) -> dict:
+    return json.loads(spark.read.text(path, wholetext=True).first()[0])
+
+
+def entity_lists(spark: SparkSession, data, id_col: str = "source1_entity_id", list_col: str = "matched_entity_ids") -> tuple[DataFrame, DataFrame]:
+    """(entities, pairs): s1_id of every entity, and (s1_id, cand_id), of a table, a pandas frame, a Parquet or TSV path, or a dict of lists.
+
+    Ids stand comma-joined in the list column, or as arrays. Without the named
+    columns the known ones are taken, else the first two.
+    """
+    if isinstance(data, dict):
+        rows = [(str(k), v if isinstance(v, str) else ",".join(sorted(str(x) for x in v))) for k, v in data.items()]
+        df = spark.createDataFrame(rows, f"{id_col} string, {list_col} string")
+    elif isinstance(data, DataFrame):
+        df = data
+    elif hasattr(data, "to_dict"):
+        df = spark.createDataFrame(data.astype(object).where(data.notna(), None))
+    elif str(data).rstrip("/").endswith(".parquet"):
+        df = spark.read.parquet(str(data))
+    else:
+        df = spark.read.csv(str(data), sep="\t", quote="", header=True, emptyValue="", nullValue="")
+    pick = lambda wanted, known, place: next((c for c in (wanted, *known) if c in df.columns), df.columns[place])
+    one = pick(id_col, ID_COLUMNS, 0)
+    two = pick(list_col, ("matched_entity_ids", "candidate_entity_ids"), 1)
+    ids = F.col(two) if dict(df.dtypes)[two].startswith("array") else id_list(two)
+    listed = df.select(F.col(one).cast("string").alias("s1_id"), ids.alias("ids"))
+    return listed.select("s1_id").distinct(), listed.select("s1_id", F.explode("ids").alias("cand_id")).distinct()
 
 
 def cached(spark: SparkSession, path: str, build) -> DataFrame:
