@@ -11,41 +11,45 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from linkweave.llm.common import written
+from linkweave.llm.common import partitions, spread_join, written
 
 
 def prefixes(turns: DataFrame) -> DataFrame:
-    """conv_id, turn texts and place, with the name (n, a, b) of the prefix that ends at each turn.
+    """conv_id, place ``n``, number of turns ``of`` and the 16-byte name of the prefix that ends at each turn.
 
     Turns stand in order of turn (null last), role and text. Null roles and
     texts differ from empty ones. Turns with a null conv_id make one
     conversation of their own.
     """
     rows = turns.select("conv_id", "turn", "role", "text")
-    order = Window.partitionBy("conv_id").orderBy(F.col("turn").isNull(), "turn", "role", "text")
+    whole = Window.partitionBy("conv_id")
+    order = whole.orderBy(F.col("turn").isNull(), "turn", "role", "text")
     placed = rows.withColumn("n", F.row_number().over(order))
     tag = lambda salt: F.xxhash64(F.lit(salt), "n", F.col("role").isNull(), "role", F.col("text").isNull(), "text")
     # Sums of signed 64-bit values in decimal, so that none overflows; two of them make chance equality negligible.
     running = order.rowsBetween(Window.unboundedPreceding, 0)
-    return placed.withColumns({"ha": tag("a").cast("decimal(20,0)"), "hb": tag("b").cast("decimal(20,0)")}).withColumns({"a": F.sum("ha").over(running), "b": F.sum("hb").over(running)}).drop("ha", "hb")
+    hashed = placed.select("conv_id", "turn", "role", "text", "n", tag("a").cast("decimal(20,0)").alias("ha"), tag("b").cast("decimal(20,0)").alias("hb"))
+    sums = hashed.withColumns({"a": F.sum("ha").over(running), "b": F.sum("hb").over(running), "of": F.count("*").over(whole)})
+    return sums.select("conv_id", "n", "of", F.unhex(F.md5(F.concat_ws(":", "n", "a", "b"))).alias("name"))
 
 
 def collapsed(turns: DataFrame) -> DataFrame:
     """One row for each conversation: conv_id, n_turns, state and kept_id.
 
     ``state`` is ``kept``, ``copy`` of the conversation with the same turns and
-    the smallest conv_id (``kept_id``), or ``prefix`` of a longer one. An empty
-    table gives no rows.
+    the smallest conv_id (``kept_id``), or ``prefix`` of a longer one. Repeated
+    turns stand next to each other. An empty table gives no rows. Columns other
+    than conv_id, turn, role and text don't matter.
     """
-    named = written(prefixes(turns).select("conv_id", "n", "a", "b"), "turn-prefixes")
-    last = named.groupBy("conv_id").agg(F.max(F.struct("n", "a", "b")).alias("x")).select("conv_id", "x.n", "x.a", "x.b")
-    whole = last.groupBy("n", "a", "b").agg(F.min(F.struct(F.col("conv_id").isNull(), "conv_id")).alias("m")).select("n", "a", "b", F.col("m.conv_id").alias("kept_id"))
-    lengths = last.select(F.col("conv_id").alias("c"), F.col("n").alias("of"))
-    proper = named.join(lengths, F.col("conv_id").eqNullSafe(F.col("c")) & (F.col("n") < F.col("of"))).select("n", "a", "b").distinct()
-    maximal = whole.join(proper, ["n", "a", "b"], "left_anti").withColumn("maximal", F.lit(True))
-    tagged = whole.join(maximal.select("n", "a", "b", "maximal"), ["n", "a", "b"], "left")
+    named = written(prefixes(turns), "turn-prefixes")
+    last = named.where("n = of")
+    whole = last.groupBy("name").agg(F.min(F.struct(F.col("conv_id").isNull(), "conv_id")).alias("m")).select("name", F.col("m.conv_id").alias("kept_id"))
+    proper = named.where("n < of").select("name").distinct()
+    maximal = whole.join(proper, "name", "left_anti").withColumn("maximal", F.lit(True))
+    # A conversation may be logged very often: its rows are dealt to many tasks.
+    found = spread_join(last, maximal, "name", ("conv_id",), partitions(turns))
     state = F.when(F.col("maximal").isNull(), "prefix").when(F.col("conv_id").eqNullSafe(F.col("kept_id")), "kept").otherwise("copy")
-    return last.join(tagged, ["n", "a", "b"]).select("conv_id", F.col("n").alias("n_turns"), state.alias("state"), F.when(F.col("maximal"), F.col("kept_id")).alias("kept_id"))
+    return found.select("conv_id", F.col("n").alias("n_turns"), state.alias("state"), F.when(F.col("maximal"), F.col("kept_id")).alias("kept_id"))
 
 
 def rendered(turns: DataFrame, start: str = "<|", mid: str = "|>\n", end: str = "<|end|>\n") -> DataFrame:

@@ -106,6 +106,18 @@ r AS (
 ),
 c AS (SELECT *, (floor(rate) + CASE WHEN draw < rate - floor(rate) THEN 1 ELSE 0 END)::BIGINT AS copies FROM r)
 SELECT doc_id, size, source_size, target, copies * size AS taken, copies FROM c
+""",
+    "op8_repeats": r"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+s AS (SELECT r, p, md5(substr(h, 2 * p + 1, 800)) AS g FROM (SELECT r, h, unnest(range(0, len(h) // 2 - 399)) AS p FROM d)),
+hit AS (SELECT r, p FROM s SEMI JOIN (SELECT g FROM s GROUP BY g HAVING count(*) > 1) USING (g)),
+cut AS (SELECT r, p, sum(CASE WHEN p - before <= 400 THEN 0 ELSE 1 END) OVER (PARTITION BY r ORDER BY p) AS run FROM (SELECT r, p, lag(p) OVER (PARTITION BY r ORDER BY p) AS before FROM hit)),
+runs AS (SELECT r, min(p) AS lo, max(p) + 400 AS hi FROM cut GROUP BY r, run),
+gaps AS (SELECT r, lo, hi, coalesce(lag(hi) OVER (PARTITION BY r ORDER BY lo), 0) AS since FROM runs),
+kept AS (SELECT r, sum(hi - lo)::BIGINT AS n_removed, count(*)::BIGINT AS n_spans, max(hi) AS tail, string_agg(substr(h, 2 * since + 1, 2 * (lo - since)), '' ORDER BY lo) AS head FROM gaps JOIN d USING (r) GROUP BY r)
+SELECT doc_id, (len(h) // 2)::BIGINT AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed, coalesce(n_spans, 0)::BIGINT AS n_spans,
+       sha256(unhex(CASE WHEN tail IS NULL THEN h ELSE head || substr(h, 2 * tail + 1) END)) AS kept_sha256
+FROM d LEFT JOIN kept USING (r)
 """,
     "op9_decontamination": r"""
 WITH w AS (
