@@ -74,7 +74,35 @@ _HOST_PATH = r"""
     FROM (SELECT page_id, strpos(coalesce(url, ''), '://') AS pos, substring(coalesce(url, ''), strpos(coalesce(url, ''), '://') + 3) AS rest FROM pages)
 """
 
+
+
+def _sql_spans(kind: str, place: int) -> str:
+    pattern, group, least, role, weak = secrets.KINDS[kind]
+    p = "'" + pattern.replace("'", "''") + "'"
+    return (
+        f"SELECT r, '{kind}' AS kind, {place} AS place, '{role}' AS role, {weak} AS weak, length(g) >= {least} AS ok, length(m) AS size, sum(length(gap) + length(m)) OVER (PARTITION BY r ORDER BY i) AS stop "
+        f"FROM (SELECT r, unnest(ms) AS m, unnest(gs) AS g, unnest(gaps[1:len(ms)]) AS gap, unnest(range(len(ms))) AS i FROM (SELECT r, regexp_extract_all(t, {p}, 0) AS ms, regexp_extract_all(t, {p}, {group}) AS gs, string_split_regex(t, {p}) AS gaps FROM d))"
+    )
+
+
+_SQL_LISTED = "string_agg(kind || ':' || start || ':' || stop, ',' ORDER BY start, place, stop, kind)"
+
 ORACLES = {
+    "op2_secrets": f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t FROM documents),
+every AS (SELECT r, kind, place, role, weak, (stop - size)::BIGINT AS start, stop::BIGINT AS stop FROM ({" UNION ALL ".join(_sql_spans(k, i) for i, k in enumerate(secrets.KINDS))}) WHERE ok),
+linked AS (
+    SELECT * FROM every a WHERE weak AND EXISTS (
+        SELECT 1 FROM every b WHERE a.r = b.r AND greatest(b.start - a.stop, a.start - b.stop) BETWEEN 0 AND {secrets.SCOPE}
+            AND ((a.role = 'secret' AND b.role IN ('identifier', 'endpoint')) OR (a.role IN ('identifier', 'endpoint') AND b.role = 'secret'))
+    )
+),
+base AS (SELECT r, count(*) FILTER (kind = 'assign') AS n_assign, count(*) FILTER (kind = 'access') AS n_access, count(*) FILTER (kind = 'hex') AS n_hex, {_SQL_LISTED} AS listed FROM every WHERE NOT weak GROUP BY r),
+spans AS (SELECT r, {_SQL_LISTED} AS listed, count(*) FILTER (weak) AS n_linked FROM (SELECT * FROM every WHERE NOT weak UNION ALL SELECT * FROM linked) GROUP BY r)
+SELECT doc_id, coalesce(n_assign, 0)::BIGINT AS n_assign, coalesce(n_access, 0)::BIGINT AS n_access, coalesce(n_hex, 0)::BIGINT AS n_hex, sha256(coalesce(base.listed, '')) AS base_sha256,
+       coalesce(spans.listed, '') AS spans, coalesce(n_linked, 0)::BIGINT AS n_linked
+FROM d LEFT JOIN base USING (r) LEFT JOIN spans USING (r)
+""",
     "op5_url_rules": f"""
 WITH p AS ({_HOST_PATH}),
 rules(h, q, v) AS (VALUES {", ".join(str(r) for r in RULES)}),
