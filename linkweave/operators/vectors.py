@@ -6,12 +6,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from linkweave.operators.blocking import top_per
 from linkweave.sources.scratch import written
+from linkweave.sources.tables import in_order
 
 
 def char_grams(text: Column, sizes: tuple[int, int] = (3, 4), by_word: bool = False) -> Column:
@@ -74,32 +76,42 @@ def tfidf_top_k(s1: DataFrame, cands: DataFrame, top_k: int = 15, least: float =
 TILE = 4_096
 
 
-def dense_top_k(queries: DataFrame, pool: DataFrame, top_k: int = 25, least: float = 0.0, query_tiles: int | None = None) -> DataFrame:
+def dense_top_k(queries: DataFrame, pool: DataFrame, top_k: int = 25, least: float = 0.0) -> DataFrame:
     """(s1_id, cand_id, similarity): exact cosine neighbours above ``least`` of (id, part, vector) rows, within a part.
 
-    Both sides are cut into tiles; each pair of tiles is one task with a matrix product that keeps the
+    Both sides are packed into tiles of one row each; each pair of tiles is one task with a matrix product that keeps the
     best of its rows, and a window keeps the best over tiles. A zero or null vector has no neighbours. Give one
     part to all rows for a search across parts.
     """
 
-    def tiled(df: DataFrame, side: int) -> tuple[DataFrame, DataFrame]:
+    kind = queries.schema["id"].dataType.simpleString()
+
+    def packed(df: DataFrame, side: int) -> tuple[DataFrame, DataFrame]:
+        """A row for each tile: its ids in order and their vectors end to end; and the number of tiles of each part."""
         rows = df.where("vector IS NOT NULL").select("id", "part", F.col("vector").cast("array<double>").alias("vector"))
         counts = rows.groupBy("part").agg(F.ceil(F.count("*") / TILE).cast("int").alias("tiles"))
         cut = rows.join(counts, "part").withColumn("tile", F.expr("CAST(pmod(xxhash64(id), tiles) AS INT)"))
-        return cut.withColumn("side", F.lit(side)), counts
 
-    q, nq = tiled(queries, 0)
-    p, np_ = tiled(pool, 1)
-    q = q.join(np_.withColumnRenamed("tiles", "others"), "part").withColumn("other", F.explode(F.expr("sequence(0, others - 1)"))).select("part", F.col("tile").alias("i"), F.col("other").alias("j"), "side", "id", "vector")
-    p = p.join(nq.withColumnRenamed("tiles", "others"), "part").withColumn("other", F.explode(F.expr("sequence(0, others - 1)"))).select("part", F.col("other").alias("i"), F.col("tile").alias("j"), "side", "id", "vector")
-    kind = q.schema["id"].dataType.simpleString()
+        def pack(table: pa.Table) -> pa.Table:
+            table = table.sort_by("id")
+            flat = table.column("vector").combine_chunks().flatten().to_numpy(zero_copy_only=False)
+            ids = table.column("id").combine_chunks()
+            listed = pa.ListArray.from_arrays(pa.array([0, len(ids)], pa.int32()), ids)
+            return pa.table({"part": table.column("part").slice(0, 1), "tile": table.column("tile").slice(0, 1), "ids": listed, "blob": pa.array([flat.tobytes()], pa.binary())})
+
+        fields = f"part {rows.schema['part'].dataType.simpleString()}, tile int, ids array<{kind}>, blob binary"
+        return cut.groupBy("part", "tile").applyInArrow(pack, fields).withColumn("side", F.lit(side)), counts
+
+    q, nq = packed(queries, 0)
+    p, np_ = packed(pool, 1)
+    q = q.join(np_.withColumnRenamed("tiles", "others"), "part").select("part", F.col("tile").alias("i"), F.explode(F.expr("sequence(0, others - 1)")).alias("j"), "side", "ids", "blob")
+    p = p.join(nq.withColumnRenamed("tiles", "others"), "part").select("part", F.explode(F.expr("sequence(0, others - 1)")).alias("i"), F.col("tile").alias("j"), "side", "ids", "blob")
 
     def compare(pdf: pd.DataFrame) -> pd.DataFrame:
-        a, b = pdf[pdf.side == 0].sort_values("id"), pdf[pdf.side == 1].sort_values("id")
-        empty = pd.DataFrame({"s1_id": pdf.id[:0], "cand_id": pdf.id[:0], "similarity": pd.Series(dtype="float64")})
-        if a.empty or b.empty:
-            return empty
-        x, y = np.vstack(a.vector.to_numpy()), np.vstack(b.vector.to_numpy())
+        sides = {int(r.side): (np.asarray(r.ids), np.frombuffer(r.blob).reshape(len(r.ids), -1)) for r in pdf.itertuples()}
+        if len(sides) < 2:
+            return pd.DataFrame({"s1_id": pd.Series(dtype=object), "cand_id": pd.Series(dtype=object), "similarity": pd.Series(dtype="float64")})
+        (a, x), (b, y) = sides[0], sides[1]
         nx, ny = np.linalg.norm(x, axis=1), np.linalg.norm(y, axis=1)
         sims = (x @ y.T) / np.maximum(nx, 1e-300)[:, None] / np.maximum(ny, 1e-300)[None, :]
         sims[nx == 0] = -2
@@ -109,7 +121,7 @@ def dense_top_k(queries: DataFrame, pool: DataFrame, top_k: int = 25, least: flo
         rows = np.repeat(np.arange(len(a)), k)
         score = np.take_along_axis(sims, best, axis=1).ravel()
         keep = (score >= least) & (score > -2)
-        return pd.DataFrame({"s1_id": a.id.to_numpy()[rows][keep], "cand_id": b.id.to_numpy()[best.ravel()][keep], "similarity": score[keep]})
+        return pd.DataFrame({"s1_id": a[rows][keep], "cand_id": b[best.ravel()][keep], "similarity": score[keep]})
 
     found = q.unionByName(p).groupBy("part", "i", "j").applyInPandas(compare, f"s1_id {kind}, cand_id {kind}, similarity double")
     return top_per(found, ["s1_id"], [F.desc(F.round("similarity", 9)), F.col("cand_id")], top_k)
@@ -118,11 +130,41 @@ def dense_top_k(queries: DataFrame, pool: DataFrame, top_k: int = 25, least: flo
 LATENT = {"sublinear": False, "max_df": 0.35, "most": 120_000, "by_word": True}
 
 
+#: Rows of a part up to which one task decomposes it, and grams that it holds as a dense block.
+MOST_LOCAL, GRAM_BLOCK = 2_048, 4_096
+
+
+def _decomposed(docs: np.ndarray, grams: np.ndarray, weights: np.ndarray, dimensions: int) -> np.ndarray:
+    """Right singular vectors, a row for each gram, of a sparse matrix with few rows, by the eigenvectors of its products of rows."""
+    n, width = int(docs.max()) + 1, int(grams.max()) + 1
+    order = np.argsort(grams, kind="stable")
+    docs, grams, weights = docs[order], grams[order], weights[order]
+
+    def blocks() -> Iterator[tuple[int, np.ndarray]]:
+        for lo in range(0, width, GRAM_BLOCK):
+            i, j = np.searchsorted(grams, [lo, lo + GRAM_BLOCK])
+            dense = np.zeros((n, min(GRAM_BLOCK, width - lo)))
+            dense[docs[i:j], grams[i:j] - lo] = weights[i:j]
+            yield lo, dense
+
+    products = np.zeros((n, n))
+    for _, dense in blocks():
+        products += dense @ dense.T
+    values, vectors = np.linalg.eigh(products)
+    k = max(1, min(dimensions, width - 1, n))
+    values, vectors = values[::-1][:k], vectors[:, ::-1][:, :k]
+    there = values > 1e-12 * max(values[0], 1e-300)
+    scaled = vectors[:, there] / np.sqrt(values[there])
+    return np.concatenate([dense.T @ scaled for _, dense in blocks()])
+
+
 def latent_factors(fit_on: DataFrame, dimensions: int = 128, **options) -> DataFrame:
     """(part, gram, f): the right singular vectors of the TF-IDF matrix of each part of ``fit_on``.
 
-    Parts are decomposed one after another, each by a distributed computation; its factors are a local
-    matrix of vocabulary times dimensions, bounded by ``most`` grams.
+    Parts of few rows are decomposed side by side, each in a task; larger ones
+    one after another, each by a distributed computation. The factors of one
+    are a local matrix of vocabulary times dimensions, bounded by ``most``
+    grams; of the grams nothing comes to the driver.
     """
     from pyspark.mllib.linalg import Vectors
     from pyspark.mllib.linalg.distributed import RowMatrix
@@ -130,21 +172,30 @@ def latent_factors(fit_on: DataFrame, dimensions: int = 128, **options) -> DataF
     spark = fit_on.sparkSession
     kind = fit_on.schema["part"].dataType.simpleString()
     base = written(tfidf(fit_on, fit_on, **LATENT | options), "grams")
-    loadings = spark.createDataFrame([], f"part {kind}, gram string, f array<double>")
-    for part in [r["part"] for r in base.select("part").distinct().orderBy("part").collect()]:
+    sizes = written(base.groupBy("part").agg(F.countDistinct("id").alias("n")), "part-sizes")
+
+    def decompose(table: pa.Table) -> pa.Table:
+        docs = np.unique(table.column("id").to_numpy(), return_inverse=True)[1]
+        names, grams = np.unique(table.column("gram").to_numpy(), return_inverse=True)
+        found = _decomposed(docs, grams, table.column("weight").to_numpy(), dimensions)
+        part = table.column("part").take(pa.array(np.zeros(len(names), np.int64)))
+        return pa.table({"part": part, "gram": pa.array(names, pa.string()), "f": pa.array(list(found), pa.list_(pa.float64()))})
+
+    small = base.join(sizes.where(F.col("n") <= MOST_LOCAL).select("part"), "part").select("part", "id", "gram", "weight")
+    loadings = written(small.groupBy("part").applyInArrow(decompose, f"part {kind}, gram string, f array<double>"), "factors")
+    for part in [r["part"] for r in sizes.where(F.col("n") > MOST_LOCAL).orderBy("part").collect()]:
         own = base.where(F.col("part") == F.lit(part))
-        vocabulary = [r["gram"] for r in own.select("gram").distinct().orderBy("gram").collect()]
-        numbered = spark.createDataFrame(list(zip(vocabulary, range(len(vocabulary)), strict=True)), "gram string, n int")
+        numbered = in_order(own.select("gram").distinct(), ["gram"], "n")
+        width = numbered.count()
         vectors = own.join(numbered, "gram").groupBy("id").agg(F.array_sort(F.collect_list(F.struct("n", "weight"))).alias("v"))
-        width = len(vocabulary)
         # Each step of the decomposition multiplies by these rows, so they stay in memory.
         sparse = vectors.select("v").rdd.map(lambda r, width=width: Vectors.sparse(width, [(x["n"], x["weight"]) for x in r["v"]])).persist()
         matrix = RowMatrix(sparse)
         k = max(1, min(dimensions, width - 1, matrix.numRows()))
         factors = matrix.computeSVD(k).V.toArray()
         sparse.unpersist()
-        rows = [(part, gram, row) for gram, row in zip(vocabulary, factors.tolist(), strict=True)]
-        loadings = loadings.unionByName(written(spark.createDataFrame(rows, loadings.schema), "factors"))
+        rows = spark.createDataFrame(pd.DataFrame({"n": np.arange(width), "f": factors.tolist()}), "n long, f array<double>")
+        loadings = loadings.unionByName(written(numbered.join(rows, "n").select(F.lit(part).cast(kind).alias("part"), "gram", "f"), "factors"))
     return loadings
 
 
@@ -154,9 +205,11 @@ def latent_vectors(rows: DataFrame, fit_on: DataFrame, factors: DataFrame, **opt
     Signs and rotations of the factors are free, cosines of vectors of one call of ``latent_factors`` are not.
     """
     own = tfidf(rows, fit_on, **LATENT | options).join(factors, ["part", "gram"])
-    terms = own.select("id", "part", F.posexplode(F.transform("f", lambda x: x * F.col("weight"))).alias("d", "x"))
-    summed = terms.groupBy("id", "part", "d").agg(F.sum("x").alias("x"))
-    return summed.groupBy("id", "part").agg(F.transform(F.array_sort(F.collect_list(F.struct("d", "x"))), lambda s: s["x"]).alias("vector"))
+    terms = own.groupBy("id", "part").agg(F.collect_list(F.struct("gram", "weight", "f")).alias("terms"))
+    # One row for each text, whose grams are few; they are added in order, so reruns agree to the last bit.
+    first = F.transform(F.col("terms")[0]["f"], lambda x: F.lit(0.0))
+    added = F.aggregate(F.array_sort("terms"), first, lambda acc, t: F.zip_with(acc, t["f"], lambda a, x: a + x * t["weight"]))
+    return terms.select("id", "part", added.alias("vector"))
 
 
 def latent_top_k(s1: DataFrame, cands: DataFrame, top_k: int = 25, least: float = 0.20, dimensions: int = 128, **options) -> DataFrame:

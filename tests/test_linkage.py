@@ -185,8 +185,10 @@ def test_model_round_trip(spark, tmp_path):
     assert sum((r["p"] > 0.5) == (r["target"] == 1) for r in got) > 190
 
 
-def test_latent_top_k_decomposes_each_part(spark):
-    """Against numpy: each part has factors of its own, and S1 and pool are projected on the same ones."""
+@pytest.mark.parametrize("most", [2_048, 5])
+def test_latent_top_k_decomposes_each_part(spark, most, monkeypatch):
+    """Against numpy, parts in a task or distributed: each part has factors of its own, and S1 and pool are projected on the same ones."""
+    monkeypatch.setattr(vectors, "MOST_LOCAL", most)
     rng = random.Random(2)
     name = lambda: " ".join("".join(rng.choice("abcdef") for _ in range(5)) for _ in range(2))
     pool = [(f"p{c}{i}", c, name()) for c in "xy" for i in range(20)]
