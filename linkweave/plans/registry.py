@@ -410,21 +410,51 @@ def block_dense(spark, d):
 
 
 # Features.
+_SQL_LEGAL = "CASE " + " ".join(rf"WHEN regexp_matches(name_clean, '\b({p})\b') THEN '{label}'" for label, p in t.LEGAL_FORMS) + " ELSE '' END"
 _SQL_META = f"""{v.SQL_KEYED},
+km AS (SELECT *, {_SQL_LEGAL} AS lf, regexp_extract(business_address, '\\b(\\d{{5,6}})\\b', 1) AS pin, coalesce(domain_root, '') AS dom FROM k),
 np AS (SELECT a.entity_id AS s1_id, b.entity_id AS cand_id FROM ent a JOIN ent b ON a.country = b.country AND a.business_name = b.business_name WHERE a.source_type = 1 AND b.source_type > 1),
-j AS (SELECT s1_id, cand_id, x.name_clean AS n1, y.name_clean AS n2, x.address_clean AS a1, y.address_clean AS a2, coalesce(x.street_number, '') AS st1, coalesce(y.street_number, '') AS st2 FROM np JOIN k x ON x.entity_id = s1_id JOIN k y ON y.entity_id = cand_id)"""
+j AS (SELECT s1_id, cand_id, x.name_clean AS n1, y.name_clean AS n2, x.address_clean AS a1, y.address_clean AS a2, coalesce(x.street_number, '') AS st1, coalesce(y.street_number, '') AS st2, x.lf AS lf1, y.lf AS lf2, x.pin AS pin1, y.pin AS pin2, x.dom AS d1, y.dom AS d2 FROM np JOIN km x ON x.entity_id = s1_id JOIN km y ON y.entity_id = cand_id)"""
+
+
+def _sql_state(a: str, b: str) -> str:
+    return f"CASE WHEN {a} = '' OR {b} = '' THEN -1.0 WHEN {a} = {b} THEN 1.0 ELSE 0.0 END"
 
 
 @query(
     f"""WITH {_SQL_META}
 SELECT s1_id, cand_id, abs(strlen(n1) - strlen(n2))::DOUBLE AS name_len_diff, strlen(n1) / greatest(strlen(n1), strlen(n2), 1) AS name_len_ratio, CASE WHEN n1 <> '' AND n1 = n2 THEN 1.0 ELSE 0.0 END AS exact_clean_name,
-    CASE WHEN a1 <> '' AND a2 <> '' THEN 1.0 ELSE 0.0 END AS both_have_address, CASE WHEN st1 = '' OR st2 = '' THEN -1.0 WHEN st1 = st2 THEN 1.0 ELSE 0.0 END AS exact_street_num_match,
-    count(*) OVER (PARTITION BY s1_id)::DOUBLE AS cands_per_s1, count(*) OVER (PARTITION BY cand_id)::DOUBLE AS claims_per_cand
+    {_sql_state("lf1", "lf2")} AS exact_legal_match, CASE WHEN a1 <> '' AND a2 <> '' THEN 1.0 ELSE 0.0 END AS both_have_address, {_sql_state("st1", "st2")} AS exact_street_num_match, {_sql_state("pin1", "pin2")} AS exact_pincode_match,
+    CASE WHEN d2 <> '' AND (d1 = d2 OR contains(n1, d2)) THEN 1.0 ELSE 0.0 END AS domain_root_match, CASE WHEN d2 <> '' THEN 1.0 ELSE 0.0 END AS has_s3_domain,
+    count(*) OVER (PARTITION BY s1_id)::DOUBLE AS cands_per_s1, count(*) OVER (PARTITION BY cand_id)::DOUBLE AS claims_per_cand, 1 AS priority_rank, 1 AS channel_mask, 0.0 AS semantic_score
 FROM j"""
 )
 def enrich_features(spark, d):
+    """All pair features but the eight string scores."""
     rows = features.relational_features(features.enriched(v.name_pairs(spark, d), *v.keyed(spark, d)))
-    return rows.select("s1_id", "cand_id", "name_len_diff", "name_len_ratio", "exact_clean_name", "both_have_address", "exact_street_num_match", "cands_per_s1", "claims_per_cand")
+    return rows.select("s1_id", "cand_id", *[c for c in features.FEATURES if c in rows.columns])
+
+
+_SQL_EARLIER = f"""{v.SQL_SCORED},
+rk AS (SELECT s1_id, cand_id, row_number() OVER (PARTITION BY s1_id ORDER BY p DESC, cand_id) AS rank, count(*) OVER (PARTITION BY s1_id) AS total FROM pairs),
+nz AS (SELECT entity_id, business_address AS addr, {_sql_norm("business_name")} AS n, {_sql_norm("business_address")} AS a, nullif(regexp_extract(business_address, '\\b(\\d{{1,5}})\\b', 1), '') AS st, lower(nullif(regexp_extract(business_name, '(?i)([a-z0-9-]+)\\.(?:{t.DOMAIN_ENDINGS})\\b', 1), '')) AS dom FROM ent),
+tz AS (SELECT *, {_sql_significant("n")} AS ts, list_filter(list_distinct(string_split(a, ' ')), lambda t: t <> '') AS words FROM nz),
+jn AS (SELECT s1_id, cand_id, rank, total, x.n AS n1, y.n AS n2, x.addr AS r1, y.addr AS r2, coalesce(x.st, '') AS st1, coalesce(y.st, '') AS st2, x.ts AS t1, y.ts AS t2, x.words AS w1, y.words AS w2, y.dom AS dom FROM rk JOIN tz x ON x.entity_id = s1_id JOIN tz y ON y.entity_id = cand_id)"""
+
+
+@query(
+    f"""WITH {_SQL_EARLIER}
+SELECT jn.s1_id, jn.cand_id, (g.s1_id IS NOT NULL)::INT AS label, CASE WHEN n1 <> '' AND n1 = n2 THEN 1.0 ELSE 0.0 END AS exact_name_match, CASE WHEN len(t1) > 0 AND list_sort(list_distinct(t1)) = list_sort(list_distinct(t2)) THEN 1.0 ELSE 0.0 END AS clean_name_match,
+    abs(length(n1) - length(n2))::DOUBLE AS name_len_diff, CASE WHEN greatest(length(n1), length(n2)) > 0 THEN least(length(n1), length(n2)) / greatest(length(n1), length(n2)) ELSE 0.0 END AS name_len_ratio,
+    CASE WHEN dom IS NOT NULL THEN 1.0 ELSE 0.0 END AS has_s3_domain, CASE WHEN list_contains(t1, coalesce(dom, '')) THEN 1.0 ELSE 0.0 END AS domain_root_match, CASE WHEN r1 <> '' AND r2 <> '' THEN 1.0 ELSE 0.0 END AS both_have_address, {_sql_state("st1", "st2")} AS street_number_match,
+    CASE WHEN r1 <> '' AND r2 <> '' AND len(w1) > 0 AND len(w2) > 0 THEN len(list_intersect(w1, w2)) / (len(w1) + len(w2) - len(list_intersect(w1, w2))) ELSE 0.0 END AS address_jaccard, rank::DOUBLE AS candidate_rank, total::DOUBLE AS total_s1_candidates
+FROM jn LEFT JOIN (SELECT DISTINCT * FROM gt) g ON jn.s1_id = g.s1_id AND jn.cand_id = g.cand_id"""
+)
+def earlier_relational_features(spark, d):
+    """All features of the earlier layout but the four string scores."""
+    s1, pool = v.sides(v.entities(spark, d))
+    rows = features.earlier_features(candidate_lists(spark, d), s1, pool, v.truth(spark, d), strings=False)
+    return rows
 
 
 @query()
@@ -507,7 +537,18 @@ def assign_anchor(spark, d):
     return assign.assign_anchor(v.scored_pairs(spark, d), 0.7, 0.4)
 
 
-@query()
+def _sql_greedy(source: str) -> str:
+    """CTEs o and g: a scan of ``source`` (tau, s1_id, cand_id, p) from the highest p down for each tau; taken pairs have ``ok``."""
+    free = "NOT list_contains(g.cands, o.cand_id) AND len(list_filter(g.owners, lambda x: x = o.s1_id)) < 11"
+    return f"""o AS (SELECT *, row_number() OVER (PARTITION BY tau ORDER BY p DESC, s1_id, cand_id) AS i FROM {source}),
+g AS (
+    SELECT DISTINCT tau, 0::BIGINT AS i, []::VARCHAR[] AS cands, []::VARCHAR[] AS owners, NULL::VARCHAR AS s1_id, NULL::VARCHAR AS cand_id, NULL::DOUBLE AS p, false AS ok FROM o
+    UNION ALL
+    SELECT o.tau, o.i, CASE WHEN {free} THEN list_append(g.cands, o.cand_id) ELSE g.cands END, CASE WHEN {free} THEN list_append(g.owners, o.s1_id) ELSE g.owners END, o.s1_id, o.cand_id, o.p, {free} FROM g JOIN o ON g.tau = o.tau AND o.i = g.i + 1
+)"""
+
+
+@query(f"WITH RECURSIVE {v.SQL_SCORED}, half AS (SELECT 0.5 AS tau, * FROM pairs WHERE p >= 0.5), {_sql_greedy('half')} SELECT s1_id, cand_id, p FROM g WHERE ok")
 def assign_greedy(spark, d):
     return assign.assign_greedy(v.scored_pairs(spark, d), 0.5)
 
@@ -611,7 +652,10 @@ def order_sweep(spark, d):
     return metrics.order_sweep(v.s1_ids(spark, d), v.truth(spark, d), pairs, metrics.TAUS)
 
 
-@query()
+_GREEDY_TAUS = ", ".join(f"({x!r}::DOUBLE)" for x in metrics.GREEDY_TAUS)
+
+
+@query(f"WITH RECURSIVE {v.SQL_SCORED}, taus(tau) AS (VALUES {_GREEDY_TAUS}), tp AS (SELECT tau, s1_id, cand_id, p FROM pairs JOIN taus ON p >= tau), {_sql_greedy('tp')}, pred AS (SELECT tau, s1_id, cand_id FROM g WHERE ok), {v.sql_scores('pred', 'tau')} {v.sql_metrics('tau')}")
 def greedy_sweep(spark, d):
     return metrics.greedy_sweep(v.s1_ids(spark, d), v.truth(spark, d), v.scored_pairs(spark, d))
 
