@@ -53,23 +53,78 @@ def tfidf(rows: DataFrame, fit_on: DataFrame, sublinear: bool = True, min_df: in
     return weighed.select("id", "part", "gram", "df", (F.col("w") / norm).alias("weight"))
 
 
+#: Rows of S1 and of the pool in one tile of the sparse join, and weights that one step of a product takes.
+SPARSE_TILES, STEP = (2_048, 512), 8_192
+_SPARSE = np.dtype([("row", "<i4"), ("gram", "<i8"), ("weight", "<f8")])
+
+
+def _sparse_tiles(grams: DataFrame, size: int) -> tuple[DataFrame, DataFrame]:
+    """(part, tile, ids, blob): the weights of up to some ``size`` rows, and the number of tiles of each part."""
+    kind = grams.schema["id"].dataType.simpleString()
+    counts = grams.groupBy("part").agg(F.ceil(F.countDistinct("id") / size).cast("int").alias("tiles"))
+    rows = grams.select("part", "id", F.xxhash64("gram").alias("gram"), "weight").join(counts, "part").withColumn("tile", F.expr("CAST(pmod(xxhash64(id), tiles) AS INT)"))
+
+    def pack(table: pa.Table) -> pa.Table:
+        ids, row = np.unique(table.column("id").to_numpy(), return_inverse=True)
+        out = np.zeros(table.num_rows, _SPARSE)
+        out["row"], out["gram"], out["weight"] = row, table.column("gram").to_numpy(), table.column("weight").to_numpy()
+        out = out[np.lexsort((out["gram"], out["row"]))]
+        listed = pa.ListArray.from_arrays(pa.array([0, len(ids)], pa.int32()), pa.array(ids, table.schema.field("id").type))
+        return pa.table({"part": table.column("part").slice(0, 1), "tile": table.column("tile").slice(0, 1), "ids": listed, "blob": pa.array([out.tobytes()], pa.binary())})
+
+    fields = f"part {rows.schema['part'].dataType.simpleString()}, tile int, ids array<{kind}>, blob binary"
+    return rows.select("part", "tile", "id", "gram", "weight").groupBy("part", "tile").applyInArrow(pack, fields), counts
+
+
+def _sparse_products(x: np.ndarray, nx: int, y: np.ndarray, ny: int) -> np.ndarray:
+    """Scalar products of the rows of two tiles of sparse weights: the grams that both have, one side spread out."""
+    common = np.intersect1d(x["gram"], y["gram"])
+    sides = []
+    for z in (x, y):
+        at = np.minimum(np.searchsorted(common, z["gram"]), max(len(common) - 1, 0))
+        ok = common[at] == z["gram"] if len(common) else np.zeros(len(z), bool)
+        sides.append((z["row"][ok], at[ok], z["weight"][ok]))
+    (row, at, weight), (other, col, value) = sides
+    out, spread = np.zeros((nx, ny)), np.zeros((len(common), ny))
+    spread[col, other] = value
+    lo = 0
+    while lo < len(row):  # whole rows, a step's worth of weights at a time
+        hi = max(int(np.searchsorted(row, row[min(lo + STEP, len(row) - 1)])), int(np.searchsorted(row, row[lo], side="right"))) if lo + STEP < len(row) else len(row)
+        first = np.flatnonzero(np.concatenate([[True], row[lo + 1 : hi] != row[lo : hi - 1]]))
+        out[row[lo:hi][first]] = np.add.reduceat(spread[at[lo:hi]] * weight[lo:hi, None], first)
+        lo = hi
+    return out
+
+
 def tfidf_top_k(s1: DataFrame, cands: DataFrame, top_k: int = 15, least: float = 0.22, **options) -> DataFrame:
     """(s1_id, cand_id, similarity): the best cosines of at least ``least``, ties by id.
 
-    ``s1`` and ``cands`` have id, part and text; a part is matched with itself only. Pairs come
-    from a prefix of each S1 vector: its rarest grams, up to where the norm of the rest falls below
-    ``least``. A vector that shares none of them can't reach it, so the
-    frequent grams, which would join everything, take part in scoring only.
+    ``s1`` and ``cands`` have id, part and text; a part is matched with itself only. The weights of
+    some rows make a tile; each pair of tiles is one task that multiplies them as sparse matrices and keeps the
+    best of its rows, and a window keeps the best over tiles. No pair that shares a gram becomes a row by that alone.
     """
-    a = written(tfidf(s1, cands, **options), "s1-grams")
-    b = written(tfidf(cands, cands, **options), "pool-grams")
-    rest = F.sum(F.col("weight") * F.col("weight")).over(Window.partitionBy("id").orderBy(F.desc("df"), "gram"))
-    prefix = a.withColumn("rest", rest).where(F.col("rest") >= (least - 1e-9) ** 2)
-    pairs = prefix.select(F.col("id").alias("s1_id"), "part", "gram").join(b.select(F.col("id").alias("cand_id"), "part", "gram"), ["part", "gram"]).select("s1_id", "cand_id").distinct()
-    x = a.select(F.col("id").alias("s1_id"), "gram", F.col("weight").alias("x"))
-    y = b.select(F.col("id").alias("cand_id"), "gram", F.col("weight").alias("y"))
-    scored = pairs.join(x, "s1_id").join(y, ["cand_id", "gram"]).groupBy("s1_id", "cand_id").agg(F.sum(F.col("x") * F.col("y")).alias("similarity"))
-    return top_per(scored.where(F.round("similarity", 9) >= least), ["s1_id"], [F.desc(F.round("similarity", 9)), F.col("cand_id")], top_k)
+    kind = cands.schema["id"].dataType.simpleString()
+    q, nq = _sparse_tiles(tfidf(s1, cands, **options), SPARSE_TILES[0])
+    p, np_ = _sparse_tiles(tfidf(cands, cands, **options), SPARSE_TILES[1])
+    q, p = written(q, "s1-tiles"), written(p, "pool-tiles")
+    q = q.join(np_.withColumnRenamed("tiles", "others"), "part").select("part", F.col("tile").alias("i"), F.explode(F.expr("sequence(0, others - 1)")).alias("j"), F.lit(0).alias("side"), "ids", "blob")
+    p = p.join(nq.withColumnRenamed("tiles", "others"), "part").select("part", F.explode(F.expr("sequence(0, others - 1)")).alias("i"), F.col("tile").alias("j"), F.lit(1).alias("side"), "ids", "blob")
+
+    def compare(pdf: pd.DataFrame) -> pd.DataFrame:
+        sides = {int(r.side): (np.asarray(r.ids), np.frombuffer(r.blob, _SPARSE)) for r in pdf.itertuples()}
+        if len(sides) < 2:
+            return pd.DataFrame({"s1_id": pd.Series(dtype=object), "cand_id": pd.Series(dtype=object), "similarity": pd.Series(dtype="float64")})
+        (a, x), (b, y) = sides[0], sides[1]
+        rounded = np.round(_sparse_products(x, len(a), y, len(b)), 9)
+        k = min(top_k, len(b))
+        best = np.argsort(-rounded, axis=1, kind="stable")[:, :k]
+        rows = np.repeat(np.arange(len(a)), k)
+        score = np.take_along_axis(rounded, best, axis=1).ravel()
+        keep = score >= least
+        return pd.DataFrame({"s1_id": a[rows][keep], "cand_id": b[best.ravel()][keep], "similarity": score[keep]})
+
+    found = q.unionByName(p).groupBy("part", "i", "j").applyInPandas(compare, f"s1_id {kind}, cand_id {kind}, similarity double")
+    return top_per(found, ["s1_id"], [F.desc("similarity"), F.col("cand_id")], top_k)
 
 
 #: Vectors in one tile of the dense join.

@@ -181,3 +181,29 @@ def test_phonetic_first_token(spark):
     rows = spark.createDataFrame([("Robert Co",), ("rupert",), ("",), (None,)], "n string")
     got = [r[0] for r in rows.select(t.phonetic_first_token(t.clean_text("n"))).collect()]
     assert got[0] == got[1] and got[0] and not got[2] and not got[3]
+
+
+@pytest.mark.parametrize("step", [3, 8_192])
+def test_sparse_products(step, monkeypatch):
+    monkeypatch.setattr(vectors, "STEP", step)
+    rng = np.random.default_rng(4)
+    x, y = (np.where(rng.random((n, 40)) < 0.1, rng.random((n, 40)), 0) for n in (30, 17))
+    packed = []
+    for m in (x, y):
+        r, c = np.nonzero(m)
+        z = np.zeros(len(r), vectors._SPARSE)
+        z["row"], z["gram"], z["weight"] = r, c * 7 - 90, m[r, c]
+        packed.append(z)
+    assert np.allclose(vectors._sparse_products(packed[0], 30, packed[1], 17), x @ y.T)
+    assert not vectors._sparse_products(packed[0], 30, packed[1][:0], 17).any()
+
+
+def test_tfidf_over_many_tiles(spark, monkeypatch):
+    """The same neighbours whatever the tiles."""
+    rng = random.Random(3)
+    name = lambda: " ".join("".join(rng.choice("abcd") for _ in range(5)) for _ in range(2))
+    pool = spark.createDataFrame([(f"p{i}", "xy"[i % 2], name()) for i in range(60)], "id string, part string, text string")
+    s1 = spark.createDataFrame([(f"s{i}", "xy"[i % 2], name()) for i in range(25)] + [("s-", "z", "lonely"), ("s0-", "x", None)], "id string, part string, text string")
+    whole = {tuple(r) for r in vectors.tfidf_top_k(s1, pool, 5, 0.1).collect()}
+    monkeypatch.setattr(vectors, "SPARSE_TILES", (4, 7))
+    assert {tuple(r) for r in vectors.tfidf_top_k(s1, pool, 5, 0.1).collect()} == whole and len(whole) > 30
