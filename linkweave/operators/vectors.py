@@ -19,12 +19,14 @@ from linkweave.sources.tables import in_order
 def char_grams(text: Column, sizes: tuple[int, int] = (3, 4), by_word: bool = False) -> Column:
     """All character n-grams, repeats included; ``by_word``: of blank-padded words, a short word once."""
 
-    def of_size(s: Column, n: int) -> Column:
-        whole = F.when(F.length(s) >= n, F.transform(F.sequence(F.lit(1), F.length(s) - n + 1), lambda i: F.substring(s, i, F.lit(n))))
+    def of_size(c: Column, n: int) -> Column:
+        whole = F.when(F.size(c) >= n, F.transform(F.sequence(F.lit(0), F.size(c) - n), lambda i: F.concat(*[c[i + k] for k in range(n)])))
         return F.coalesce(whole, F.array().cast("array<string>"))
 
     def grams(s: Column) -> Column:
-        return F.concat(*[of_size(s, n) for n in range(sizes[0], sizes[1] + 1)])
+        # The characters are an array, made once: a substring of a long text would count from its start.
+        letters = F.array(F.regexp_extract_all(s, F.lit("(?s)."), 0))
+        return F.transform(letters, lambda c: F.concat(*[of_size(c, n) for n in range(sizes[0], sizes[1] + 1)]))[0]
 
     t = F.coalesce(text, F.lit(""))
     if not by_word:
