@@ -12,7 +12,7 @@ def shared_dir(spark: SparkSession) -> str:
     """``spark.checkpoint.dir``; where that is unset a temporary folder if all tasks run in the driver's process, else an error."""
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not found:
-        if not spark.sparkContext.master.startswith("local["):
+        if spark.sparkContext.master != "local" and not spark.sparkContext.master.startswith("local["):
             raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         found = tempfile.mkdtemp(prefix="linkweave-")
         spark.conf.set("spark.checkpoint.dir", found)
