@@ -1,11 +1,11 @@
-"""Gradient-boosted trees over pair features: fit with early stopping, score, importances, save and load."""
+"""Classifiers over pair features, boosted trees with early stopping among them: fit, score, importances, save and load."""
 
 from __future__ import annotations
 
 import json
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import GBTClassifier
+from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -14,6 +14,9 @@ from pyspark.sql import functions as F
 from linkweave.functions.text import split_name
 from linkweave.sources.tables import in_order
 
+#: Families of models that ``fit`` knows.
+FAMILIES = ("boosted", "forest", "linear")
+
 
 def with_split(df: DataFrame, column: str = "s1_id", **options) -> DataFrame:
     """``df`` with train, dev or val by entity, so an entity's pairs stay together."""
@@ -37,20 +40,45 @@ def _cut(df: DataFrame, share: float, column: str, key: Column) -> DataFrame:
     return df.join(side, F.col(column) == F.col("_entity"), "left").drop("_entity")
 
 
-def fit(rows: DataFrame, features: list[str], label: str = "target", trees: int = 60, depth: int = 5, rate: float = 0.1, seed: int = 42) -> PipelineModel:
-    """A model fitted on the train split; if there is a dev split it stops adding trees when dev loss stops falling.
+def fit(rows: DataFrame, features: list[str], label: str = "target", trees: int = 60, depth: int = 5, rate: float = 0.1, seed: int = 42, family: str = "boosted") -> PipelineModel:
+    """A model of ``family`` (boosted, forest or linear) fitted on the train split; with a dev split, boosting stops adding trees when dev loss stops falling.
 
-    Missing feature values count as -1.
+    Missing feature values count as -1. ``trees``, ``depth`` and ``seed`` are for trees,
+    ``rate`` for boosting; a linear model takes up to 100 steps on scaled features.
     """
     data = rows.fillna(-1.0, features).withColumn(label, F.col(label).cast("double"))
-    trained = GBTClassifier(labelCol=label, featuresCol="features", maxIter=trees, maxDepth=depth, stepSize=rate, seed=seed, validationTol=0.001)
+    named = {"labelCol": label, "featuresCol": "features"}
+    if family == "boosted":
+        trained = GBTClassifier(maxIter=trees, maxDepth=depth, stepSize=rate, seed=seed, validationTol=0.001, **named)
+    elif family == "forest":
+        trained = RandomForestClassifier(numTrees=trees, maxDepth=depth, seed=seed, **named)
+    elif family == "linear":
+        trained = LogisticRegression(maxIter=100, regParam=0.001, **named)
+    else:
+        raise ValueError(f"unknown family {family}")
     if "split" in rows.columns:
-        data = data.where("split IN ('train', 'dev')").withColumn("is_dev", F.col("split") == "dev")
-        if not data.where("is_dev").isEmpty():
-            trained = trained.setValidationIndicatorCol("is_dev")
+        held = data.where("split IN ('train', 'dev')").withColumn("is_dev", F.col("split") == "dev")
+        if family == "boosted" and not held.where("is_dev").isEmpty():
+            data, trained = held, trained.setValidationIndicatorCol("is_dev")
+        else:
+            data = data.where("split = 'train'")
     return Pipeline(stages=[VectorAssembler(inputCols=features, outputCol="features"), trained]).fit(data)
 
 
+def fit_best(rows: DataFrame, features: list[str], label: str = "target", families: tuple[str, ...] = FAMILIES, **options) -> tuple[PipelineModel, str, dict[str, float]]:
+    """The model of the family with the least log loss on the dev split, its name, and the loss of each; ties go to the family named first."""
+    models = {f: fit(rows, features, label, family=f, **options) for f in families}
+    losses = {}
+    for name, found in models.items():
+        p = F.least(F.greatest("p", F.lit(1e-6)), F.lit(1 - 1e-6))
+        loss = F.when(F.col(label) == 1, -F.log(p)).otherwise(-F.log(1 - p))
+        losses[name] = score(found, rows.where("split = 'dev'"), features).agg(F.avg(loss)).first()[0]
+    if None in losses.values():
+        raise ValueError("no rows in the dev split")
+    best = min(families, key=lambda f: (losses[f], families.index(f)))
+    return models[best], best, losses
+
+
 def score(model: PipelineModel, rows: DataFrame, features: list[str]) -> DataFrame:
     """``rows`` with ``p``, the probability of a match."""
     filled = rows.fillna(-1.0, features)
@@ -58,8 +86,9 @@ def score(model: PipelineModel, rows: DataFrame, features: list[str]) -> DataFra
 
 
 def importances(model: PipelineModel, features: list[str]) -> list[tuple[str, float]]:
-    """Features by importance, ties by name."""
-    values = model.stages[-1].featureImportances.toArray()
+    """Features by importance (of a linear model: the size of the coefficient), ties by name."""
+    last = model.stages[-1]
+    values = last.featureImportances.toArray() if hasattr(last, "featureImportances") else abs(last.coefficients.toArray())
     return sorted(zip(features, map(float, values), strict=True), key=lambda x: (-x[1], x[0]))
 
 

@@ -418,15 +418,15 @@ j AS (SELECT s1_id, cand_id, x.name_clean AS n1, y.name_clean AS n2, x.address_c
 
 
 def _sql_state(a: str, b: str) -> str:
-    return f"CASE WHEN {a} = '' OR {b} = '' THEN -1.0 WHEN {a} = {b} THEN 1.0 ELSE 0.0 END"
+    return f"CASE WHEN {a} = '' OR {b} = '' THEN -1.0 WHEN {a} = {b} THEN 1.0 ELSE 0.0::DOUBLE END"
 
 
 @query(
     f"""WITH {_SQL_META}
-SELECT s1_id, cand_id, abs(strlen(n1) - strlen(n2))::DOUBLE AS name_len_diff, strlen(n1) / greatest(strlen(n1), strlen(n2), 1) AS name_len_ratio, CASE WHEN n1 <> '' AND n1 = n2 THEN 1.0 ELSE 0.0 END AS exact_clean_name,
-    {_sql_state("lf1", "lf2")} AS exact_legal_match, CASE WHEN a1 <> '' AND a2 <> '' THEN 1.0 ELSE 0.0 END AS both_have_address, {_sql_state("st1", "st2")} AS exact_street_num_match, {_sql_state("pin1", "pin2")} AS exact_pincode_match,
-    CASE WHEN d2 <> '' AND (d1 = d2 OR contains(n1, d2)) THEN 1.0 ELSE 0.0 END AS domain_root_match, CASE WHEN d2 <> '' THEN 1.0 ELSE 0.0 END AS has_s3_domain,
-    count(*) OVER (PARTITION BY s1_id)::DOUBLE AS cands_per_s1, count(*) OVER (PARTITION BY cand_id)::DOUBLE AS claims_per_cand, 1 AS priority_rank, 1 AS channel_mask, 0.0 AS semantic_score
+SELECT s1_id, cand_id, abs(strlen(n1) - strlen(n2))::DOUBLE AS name_len_diff, strlen(n1) / greatest(strlen(n1), strlen(n2), 1) AS name_len_ratio, CASE WHEN n1 <> '' AND n1 = n2 THEN 1.0 ELSE 0.0::DOUBLE END AS exact_clean_name,
+    {_sql_state("lf1", "lf2")} AS exact_legal_match, CASE WHEN a1 <> '' AND a2 <> '' THEN 1.0 ELSE 0.0::DOUBLE END AS both_have_address, {_sql_state("st1", "st2")} AS exact_street_num_match, {_sql_state("pin1", "pin2")} AS exact_pincode_match,
+    CASE WHEN d2 <> '' AND (d1 = d2 OR contains(n1, d2)) THEN 1.0 ELSE 0.0::DOUBLE END AS domain_root_match, CASE WHEN d2 <> '' THEN 1.0 ELSE 0.0::DOUBLE END AS has_s3_domain,
+    count(*) OVER (PARTITION BY s1_id)::DOUBLE AS cands_per_s1, count(*) OVER (PARTITION BY cand_id)::DOUBLE AS claims_per_cand, 1 AS priority_rank, 1 AS channel_mask, 0.0::DOUBLE AS semantic_score
 FROM j"""
 )
 def enrich_features(spark, d):
@@ -444,10 +444,10 @@ jn AS (SELECT s1_id, cand_id, rank, total, x.n AS n1, y.n AS n2, x.addr AS r1, y
 
 @query(
     f"""WITH {_SQL_EARLIER}
-SELECT jn.s1_id, jn.cand_id, (g.s1_id IS NOT NULL)::INT AS label, CASE WHEN n1 <> '' AND n1 = n2 THEN 1.0 ELSE 0.0 END AS exact_name_match, CASE WHEN len(t1) > 0 AND list_sort(list_distinct(t1)) = list_sort(list_distinct(t2)) THEN 1.0 ELSE 0.0 END AS clean_name_match,
-    abs(length(n1) - length(n2))::DOUBLE AS name_len_diff, CASE WHEN greatest(length(n1), length(n2)) > 0 THEN least(length(n1), length(n2)) / greatest(length(n1), length(n2)) ELSE 0.0 END AS name_len_ratio,
-    CASE WHEN dom IS NOT NULL THEN 1.0 ELSE 0.0 END AS has_s3_domain, CASE WHEN list_contains(t1, coalesce(dom, '')) THEN 1.0 ELSE 0.0 END AS domain_root_match, CASE WHEN r1 <> '' AND r2 <> '' THEN 1.0 ELSE 0.0 END AS both_have_address, {_sql_state("st1", "st2")} AS street_number_match,
-    CASE WHEN r1 <> '' AND r2 <> '' AND len(w1) > 0 AND len(w2) > 0 THEN len(list_intersect(w1, w2)) / (len(w1) + len(w2) - len(list_intersect(w1, w2))) ELSE 0.0 END AS address_jaccard, rank::DOUBLE AS candidate_rank, total::DOUBLE AS total_s1_candidates
+SELECT jn.s1_id, jn.cand_id, (g.s1_id IS NOT NULL)::INT AS label, CASE WHEN n1 <> '' AND n1 = n2 THEN 1.0 ELSE 0.0::DOUBLE END AS exact_name_match, CASE WHEN len(t1) > 0 AND list_sort(list_distinct(t1)) = list_sort(list_distinct(t2)) THEN 1.0 ELSE 0.0::DOUBLE END AS clean_name_match,
+    abs(length(n1) - length(n2))::DOUBLE AS name_len_diff, CASE WHEN greatest(length(n1), length(n2)) > 0 THEN least(length(n1), length(n2)) / greatest(length(n1), length(n2)) ELSE 0.0::DOUBLE END AS name_len_ratio,
+    CASE WHEN dom IS NOT NULL THEN 1.0 ELSE 0.0::DOUBLE END AS has_s3_domain, CASE WHEN list_contains(t1, coalesce(dom, '')) THEN 1.0 ELSE 0.0::DOUBLE END AS domain_root_match, CASE WHEN r1 <> '' AND r2 <> '' THEN 1.0 ELSE 0.0::DOUBLE END AS both_have_address, {_sql_state("st1", "st2")} AS street_number_match,
+    CASE WHEN r1 <> '' AND r2 <> '' AND len(w1) > 0 AND len(w2) > 0 THEN len(list_intersect(w1, w2)) / (len(w1) + len(w2) - len(list_intersect(w1, w2))) ELSE 0.0::DOUBLE END AS address_jaccard, rank::DOUBLE AS candidate_rank, total::DOUBLE AS total_s1_candidates
 FROM jn LEFT JOIN (SELECT DISTINCT * FROM gt) g ON jn.s1_id = g.s1_id AND jn.cand_id = g.cand_id"""
 )
 def earlier_relational_features(spark, d):
@@ -468,7 +468,12 @@ def earlier_pair_features(spark, d):
     return features.earlier_features(candidate_lists(spark, d), s1, pool, v.truth(spark, d))
 
 
-@query()
+@query(
+    f"""WITH {v.SQL_TRUTH},
+pool AS (SELECT entity_id AS cand_id, country, row_number() OVER (PARTITION BY country ORDER BY ('0x' || substr(md5('42:pool:' || entity_id), 1, 12))::BIGINT, entity_id) - 1 AS place, count(*) OVER (PARTITION BY country) AS size FROM ent WHERE source_type > 1),
+drawn AS (SELECT entity_id AS s1_id, country, ('0x' || substr(md5('42:' || k || ':' || entity_id), 1, 12))::BIGINT AS draw FROM ent, range(2) t(k) WHERE source_type = 1)
+SELECT DISTINCT s1_id, cand_id FROM drawn JOIN pool ON drawn.country = pool.country AND place = draw % size WHERE NOT EXISTS (SELECT 1 FROM gt WHERE gt.s1_id = drawn.s1_id AND gt.cand_id = pool.cand_id)"""
+)
 def random_negatives(spark, d):
     return features.random_negatives(v.truth(spark, d), *v.sides(v.entities(spark, d)), per_s1=2)
 

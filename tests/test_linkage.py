@@ -185,6 +185,38 @@ def test_model_round_trip(spark, tmp_path):
     assert sum((r["p"] > 0.5) == (r["target"] == 1) for r in got) > 190
 
 
+def test_model_families(spark):
+    """Each family separates classes that one feature separates; a boundary that no line draws takes trees."""
+    rng = random.Random(6)
+    points = [(f"S1-{i}", rng.random(), rng.random()) for i in range(600)]
+    even = model.with_split(spark.createDataFrame([(s, x, y, int(x > 0.5)) for s, x, y in points], "s1_id string, f double, g double, target int")).cache()
+    for family in model.FAMILIES:
+        fitted = model.fit(even, ["f", "g"], trees=5, depth=3, family=family)
+        got = model.score(fitted, even, ["f", "g"]).collect()
+        assert sum((r["p"] > 0.5) == (r["target"] == 1) for r in got) > 570, family
+        assert model.importances(fitted, ["f", "g"])[0][0] == "f", family
+    odd = model.with_split(spark.createDataFrame([(s, x, y, int((x > 0.5) != (y > 0.5))) for s, x, y in points], "s1_id string, f double, g double, target int")).cache()
+    _, best, losses = model.fit_best(odd, ["f", "g"], trees=20, depth=4)
+    assert best in ("boosted", "forest") and losses[best] == min(losses.values()) < losses["linear"] - 0.1
+    with pytest.raises(ValueError):
+        model.fit(odd, ["f"], family="none")
+
+
+def test_random_negatives(spark):
+    """Within a country, never in the truth, as many as drawn less repeats and truths; the same whatever the partitions; without a country or a pool none."""
+    s1 = [(f"S1-{i}", "xyz"[i % 3]) for i in range(60)] + [("S1-n", None), ("S1-w", "w")]
+    pool = [(f"S2-{i}", "xy"[i % 2]) for i in range(40)] + [("S2-n", None)]
+    truth = spark.createDataFrame([(s, p) for s, c in s1 for p, k in pool[:20] if c == k], "s1_id string, cand_id string")
+    frame = lambda rows, n: spark.createDataFrame(rows, "entity_id string, country string").repartition(n)
+    runs = [sorted(map(tuple, features.random_negatives(truth, frame(s1, n), frame(pool + pool[:m], n), per_s1=5).collect())) for n, m in ((1, 0), (7, 0), (3, 9))]
+    assert runs[0] == runs[1] == runs[2]
+    country, drawn = dict(s1 + pool), Counter(s for s, _ in runs[0])
+    assert all(country[s] == country[p] for s, p in runs[0]) and not set(runs[0]) & {tuple(r) for r in truth.collect()}
+    assert set(drawn) <= {s for s, c in s1 if c in ("x", "y")} and max(drawn.values()) <= 5 and len(drawn) > 30
+    empty = frame(pool, 1).limit(0)
+    assert features.random_negatives(truth, frame(s1, 1), empty).count() == 0 and features.random_negatives(truth, empty, frame(pool, 1)).count() == 0
+
+
 @pytest.mark.parametrize("most", [2_048, 5])
 def test_latent_top_k_decomposes_each_part(spark, most, monkeypatch):
     """Against numpy, parts in a task or distributed: each part has factors of its own, and S1 and pool are projected on the same ones."""
