@@ -40,7 +40,7 @@ def _cut(df: DataFrame, share: float, column: str, key: Column) -> DataFrame:
     return df.join(side, F.col(column) == F.col("_entity"), "left").drop("_entity")
 
 
-def fit(rows: DataFrame, features: list[str], label: str = "target", trees: int = 60, depth: int = 5, rate: float = 0.1, seed: int = 42, family: str = "boosted") -> PipelineModel:
+def fit(rows: DataFrame, features: list[str], label: str = "target", trees: int = 500, depth: int = 5, rate: float = 0.1, seed: int = 42, family: str = "boosted") -> PipelineModel:
     """A model of ``family`` (boosted, forest or linear) fitted on the train split; with a dev split, boosting stops adding trees when dev loss stops falling.
 
     Missing feature values count as -1. ``trees``, ``depth`` and ``seed`` are for trees,
