@@ -41,13 +41,22 @@ def tfidf(rows: DataFrame, fit_on: DataFrame, sublinear: bool = True, min_df: in
     Both are taken within a ``part``. ``min_df`` of None is 3 where a part has
     over 100 rows, else 1. ``most`` keeps the most frequent grams of a part.
     """
+    return _weighed(rows, _known_grams(fit_on, min_df, max_df, most, by_word, sizes), sublinear, by_word, sizes)
+
+
+def _known_grams(fit_on: DataFrame, min_df: int | None = None, max_df: float = 1.0, most: int | None = None, by_word: bool = False, sizes: tuple[int, int] = (3, 4)) -> DataFrame:
+    """(part, gram, idf, df) of the grams that ``tfidf`` keeps."""
     part_size = fit_on.groupBy("part").agg(F.count("*").alias("n"))
     df = fit_on.select("part", F.explode(F.array_distinct(char_grams(F.col("text"), sizes, by_word))).alias("gram")).groupBy("part", "gram").agg(F.count("*").alias("df"))
     least = F.lit(min_df) if min_df is not None else F.when(F.col("n") > 100, 3).otherwise(1)
     known = df.join(part_size, "part").where((F.col("df") >= least) & (F.col("df") <= F.lit(max_df) * F.col("n")))
     if most:
         known = top_per(known, ["part"], [F.desc("df"), F.col("gram")], most)
-    known = known.select("part", "gram", (F.log((1 + F.col("n")) / (1 + F.col("df"))) + 1).alias("idf"), "df")
+    return known.select("part", "gram", (F.log((1 + F.col("n")) / (1 + F.col("df"))) + 1).alias("idf"), "df")
+
+
+def _weighed(rows: DataFrame, known: DataFrame, sublinear: bool = True, by_word: bool = False, sizes: tuple[int, int] = (3, 4)) -> DataFrame:
+    """What ``tfidf`` returns, with the frequencies of ``known``."""
     tf = rows.select("id", "part", F.explode(char_grams(F.col("text"), sizes, by_word)).alias("gram")).groupBy("id", "part", "gram").agg(F.count("*").alias("tf"))
     raw = (1 + F.log("tf")) if sublinear else F.col("tf").cast("double")
     weighed = tf.join(known, ["part", "gram"]).withColumn("w", raw * F.col("idf"))
@@ -60,10 +69,10 @@ SPARSE_TILES, STEP = (2_048, 512), 8_192
 _SPARSE = np.dtype([("row", "<i4"), ("gram", "<i8"), ("weight", "<f8")])
 
 
-def _sparse_tiles(grams: DataFrame, size: int) -> tuple[DataFrame, DataFrame]:
-    """(part, tile, ids, blob): the weights of up to some ``size`` rows, and the number of tiles of each part."""
+def _sparse_tiles(rows: DataFrame, grams: DataFrame, size: int) -> tuple[DataFrame, DataFrame]:
+    """(part, tile, ids, blob): the weights of up to some ``size`` of the rows, and the number of tiles of each part."""
     kind = grams.schema["id"].dataType.simpleString()
-    counts = grams.groupBy("part").agg(F.ceil(F.countDistinct("id") / size).cast("int").alias("tiles"))
+    counts = rows.groupBy("part").agg(F.ceil(F.count("*") / size).cast("int").alias("tiles"))
     rows = grams.select("part", "id", F.xxhash64("gram").alias("gram"), "weight").join(counts, "part").withColumn("tile", F.expr("CAST(pmod(xxhash64(id), tiles) AS INT)"))
 
     def pack(table: pa.Table) -> pa.Table:
@@ -106,8 +115,13 @@ def tfidf_top_k(s1: DataFrame, cands: DataFrame, top_k: int = 15, least: float =
     best of its rows, and a window keeps the best over tiles. No pair that shares a gram becomes a row by that alone.
     """
     kind = cands.schema["id"].dataType.simpleString()
-    q, nq = _sparse_tiles(tfidf(s1, cands, **options), SPARSE_TILES[0])
-    p, np_ = _sparse_tiles(tfidf(cands, cands, **options), SPARSE_TILES[1])
+    # Texts are read once and dealt evenly, since each becomes as many rows as it has grams.
+    parts = int(cands.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    s1, cands = (written(x.select("id", "part", "text").repartition(parts, "id"), n) for x, n in ((s1, "s1-texts"), (cands, "pool-texts")))
+    scale = {k: x for k, x in options.items() if k in ("sublinear", "by_word", "sizes")}
+    known = written(_known_grams(cands, **{k: x for k, x in options.items() if k != "sublinear"}), "grams")
+    q, nq = _sparse_tiles(s1, _weighed(s1, known, **scale), SPARSE_TILES[0])
+    p, np_ = _sparse_tiles(cands, _weighed(cands, known, **scale), SPARSE_TILES[1])
     q, p = written(q, "s1-tiles"), written(p, "pool-tiles")
     q = q.join(np_.withColumnRenamed("tiles", "others"), "part").select("part", F.col("tile").alias("i"), F.explode(F.expr("sequence(0, others - 1)")).alias("j"), F.lit(0).alias("side"), "ids", "blob")
     p = p.join(nq.withColumnRenamed("tiles", "others"), "part").select("part", F.explode(F.expr("sequence(0, others - 1)")).alias("i"), F.col("tile").alias("j"), F.lit(1).alias("side"), "ids", "blob")

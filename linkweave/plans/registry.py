@@ -127,7 +127,7 @@ def md5_split(spark, d):
 
 @query(f"WITH {v.SQL_KEYED} SELECT entity_id, name_clean, name_no_legal, name_token_sorted_key, first_token, second_token, address_clean, street_number FROM k")
 def key_columns(spark, d):
-    keyed = v.key_columns(v.entities(spark, d))
+    keyed = v.key_columns(v.dealt(v.entities(spark, d)))
     return keyed.select("entity_id", "name_clean", "name_no_legal", "name_token_sorted_key", "first_token", "second_token", "address_clean", "street_number")
 
 

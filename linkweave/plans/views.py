@@ -35,9 +35,14 @@ def sides(df: DataFrame) -> tuple[DataFrame, DataFrame]:
     return df.where("source_type = 1"), df.where("source_type > 1")
 
 
+def dealt(df: DataFrame) -> DataFrame:
+    """The narrow rows of entities over all tasks of a shuffle: the test tables are one row group each, which one task reads."""
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), "entity_id")
+
+
 def keyed(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """Keyed S1 and pool, written once: the channels read them many times."""
-    return sides(written(key_columns(entities(spark, sf_dir)), "keyed"))
+    return sides(written(key_columns(dealt(entities(spark, sf_dir))), "keyed"))
 
 
 def truth(spark: SparkSession, sf_dir: str) -> DataFrame:
