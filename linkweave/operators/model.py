@@ -12,12 +12,17 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from linkweave.functions.text import split_name
+from linkweave.sources.scratch import written
 from linkweave.sources.tables import in_order
 
 #: Families of models that ``fit`` knows.
 FAMILIES = ("boosted", "forest", "linear")
 
 
+#: Distinct rows that one task of a fit holds, and distinct rows of features up to which their scores are broadcast.
+ROWS_EACH, MOST_SENT = 1 << 16, 1 << 17
+
+
 def with_split(df: DataFrame, column: str = "s1_id", **options) -> DataFrame:
     """``df`` with train, dev or val by entity, so an entity's pairs stay together."""
     return df.withColumn("split", split_name(column, **options))
@@ -44,7 +49,8 @@ def fit(rows: DataFrame, features: list[str], label: str = "target", trees: int
     """A model of ``family`` (boosted, forest or linear) fitted on the train split; with a dev split, boosting stops adding trees when dev loss stops falling.
 
     Missing feature values count as -1. ``trees``, ``depth`` and ``seed`` are for trees,
-    ``rate`` for boosting; a linear model takes up to 100 steps on scaled features.
+    ``rate`` for boosting; a linear model takes up to 100 steps on scaled features. Equal rows
+    are fitted as one with their number as weight, but for a forest, which draws rows.
     """
     data = rows.fillna(-1.0, features).withColumn(label, F.col(label).cast("double"))
     named = {"labelCol": label, "featuresCol": "features"}
@@ -62,7 +68,18 @@ def fit(rows: DataFrame, features: list[str], label: str = "target", trees: int
             data, trained = held, trained.setValidationIndicatorCol("is_dev")
         else:
             data = data.where("split = 'train'")
-    return Pipeline(stages=[VectorAssembler(inputCols=features, outputCol="features"), trained]).fit(data)
+    if family != "forest":
+        keys = [c for c in (*features, label, "is_dev") if c in data.columns]
+        data = written(data.groupBy(*dict.fromkeys(keys)).agg(F.count("*").cast("double").alias("_weight")), "weighted-rows")
+        # Each level of each tree is a job over all of its tasks.
+        tasks = -(-data.count() // ROWS_EACH)
+        data = data.coalesce(1) if tasks <= 1 else data.repartition(tasks, *features)
+        trained = trained.setWeightCol("_weight")
+    # Boosting reads the dev rows again for each tree.
+    data = data.persist()
+    found = Pipeline(stages=[VectorAssembler(inputCols=features, outputCol="features"), trained]).fit(data)
+    data.unpersist()
+    return found
 
 
 def fit_best(rows: DataFrame, features: list[str], label: str = "target", families: tuple[str, ...] = FAMILIES, **options) -> tuple[PipelineModel, str, dict[str, float]]:
@@ -80,9 +97,14 @@ def fit_best(rows: DataFrame, features: list[str], label: str = "target", famili
 
 
 def score(model: PipelineModel, rows: DataFrame, features: list[str]) -> DataFrame:
-    """``rows`` with ``p``, the probability of a match."""
+    """``rows`` with ``p``, the probability of a match; equal features are scored once where they are few enough to be sent to the rows."""
     filled = rows.fillna(-1.0, features)
-    return model.transform(filled).withColumn("p", vector_to_array("probability")[1]).drop("features", "rawPrediction", "probability", "prediction")
+    scored = lambda df: model.transform(df).withColumn("p", vector_to_array("probability")[1]).drop("features", "rawPrediction", "probability", "prediction")
+    kinds = written(filled.select(*features).distinct(), "kinds")
+    if kinds.count() > MOST_SENT:
+        return scored(filled)
+    sent = written(scored(kinds), "kinds-scored")
+    return filled.join(F.broadcast(sent), features).select(*filled.columns, "p")
 
 
 def importances(model: PipelineModel, features: list[str]) -> list[tuple[str, float]]:
