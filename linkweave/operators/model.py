@@ -17,6 +17,8 @@ from linkweave.sources.tables import in_order
 
 #: Families of models that ``fit`` knows.
 FAMILIES = ("boosted", "forest", "linear")
+#: Names of the splits, in the order of their shares.
+SPLITS = ("train", "dev", "val")
 
 
 #: Distinct rows that one task of a fit holds, and distinct rows of features up to which their scores are broadcast.
@@ -45,12 +47,13 @@ def _cut(df: DataFrame, share: float, column: str, key: Column) -> DataFrame:
     return df.join(side, F.col(column) == F.col("_entity"), "left").drop("_entity")
 
 
-def fit(rows: DataFrame, features: list[str], label: str = "target", trees: int = 500, depth: int = 5, rate: float = 0.1, seed: int = 42, family: str = "boosted") -> PipelineModel:
+def fit(rows: DataFrame, features: list[str], label: str = "target", trees: int = 500, depth: int = 5, rate: float = 0.1, seed: int = 42, family: str = "boosted", weight: str | None = None) -> PipelineModel:
     """A model of ``family`` (boosted, forest or linear) fitted on the train split; with a dev split, boosting stops adding trees when dev loss stops falling.
 
     Missing feature values count as -1. ``trees``, ``depth`` and ``seed`` are for trees,
     ``rate`` for boosting; a linear model takes up to 100 steps on scaled features. Equal rows
-    are fitted as one with their number as weight, but for a forest, which draws rows.
+    are fitted as one with their number as weight, but for a forest, which draws rows. ``weight``
+    names a column that says for how many rows each one stands.
     """
     data = rows.fillna(-1.0, features).withColumn(label, F.col(label).cast("double"))
     named = {"labelCol": label, "featuresCol": "features"}
@@ -68,9 +71,11 @@ def fit(rows: DataFrame, features: list[str], label: str = "target", trees: int
             data, trained = held, trained.setValidationIndicatorCol("is_dev")
         else:
             data = data.where("split = 'train'")
+    if weight and family == "forest":
+        data, trained = data.withColumn("_weight", F.col(weight).cast("double")), trained.setWeightCol("_weight")
     if family != "forest":
         keys = [c for c in (*features, label, "is_dev") if c in data.columns]
-        data = written(data.groupBy(*dict.fromkeys(keys)).agg(F.count("*").cast("double").alias("_weight")), "weighted-rows")
+        data = written(data.groupBy(*dict.fromkeys(keys)).agg((F.sum(weight) if weight else F.count("*")).cast("double").alias("_weight")), "weighted-rows")
         # Each level of each tree is a job over all of its tasks.
         tasks = -(-data.count() // ROWS_EACH)
         data = data.coalesce(1) if tasks <= 1 else data.repartition(tasks, *features)
